@@ -75,21 +75,29 @@ class Inputs:
     def raw_plays(self) -> DataFrame:
         """Plays as they arrive: text times, some of them bad, missing and untidy names, copies."""
         seq = F.col("seq")
-        copies = F.when(seq % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        return (
-            self.plays.withColumn("copy", F.explode(copies))
-            .drop("copy")
-            .withColumns(
-                {
-                    "timestamp": F.when(seq % 97 == 0, "not-a-date").otherwise(
-                        F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-                    ),
-                    "artistName": F.when(seq % 89 != 0, F.col("artistName")),
-                    "trackName": F.when(seq % 83 == 0, "")
-                    .when(seq % 79 == 0, F.concat(F.char(F.lit(1)), "trackName", F.lit(" ")))
-                    .otherwise(F.col("trackName")),
-                }
-            )
+        # The untidy values are built once per play, inside the array that is exploded. As plain
+        # columns they would be computed again in every filter that Spark pushes towards the scan.
+        untidy = F.struct(
+            F.when(seq % 97 == 0, "not-a-date")
+            .otherwise(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+            .alias("timestamp"),
+            F.when(seq % 89 != 0, F.col("artistName")).alias("artistName"),
+            F.when(seq % 83 == 0, "")
+            .when(seq % 79 == 0, F.concat(F.char(F.lit(1)), "trackName", F.lit(" ")))
+            .otherwise(F.col("trackName"))
+            .alias("trackName"),
+        )
+        copies = F.array_repeat(untidy, F.when(seq % 10 == 0, 2).otherwise(1))
+        return self.plays.select(
+            "userId", "artistId", "trackId", "seq", F.explode(copies).alias("untidy")
+        ).select(
+            "userId",
+            "untidy.timestamp",
+            "artistId",
+            "untidy.artistName",
+            "trackId",
+            "untidy.trackName",
+            "seq",
         )
 
     @cached_property

@@ -1,5 +1,7 @@
 """Sessions, song rankings and what sessions look like."""
 
+from pyspark.sql import functions as F
+
 from sessionlab.catalog.inputs import GAP
 from sessionlab.catalog.oracle import cases, r6, rd
 from sessionlab.catalog.registry import query
@@ -99,17 +101,27 @@ def _(t):
 
 @query(
     "check_chronology",
-    """SELECT trackName, count(*) AS rows,
-              count(*) FILTER (timestamp < previous) AS stepsBack,
+    """SELECT userId, count(*) AS rows, count(*) FILTER (timestamp < previous) AS stepsBack,
+              count(*) FILTER (timestamp < previous) = 0 AS inOrder
+       FROM (SELECT *, lag(timestamp) OVER (PARTITION BY userId ORDER BY hour(timestamp), seq)
+                       AS previous FROM plays)
+       GROUP BY userId""",
+)
+def _(t):
+    # Read by hour of day, then event number: an order in which time does go back.
+    position = F.hour("timestamp") * F.lit(10**13) + F.col("seq")
+    return gaps.check_chronology(t.plays.withColumn("position", position), "userId", "position")
+
+
+@query(
+    "check_chronology_by_event",
+    """SELECT userId, count(*) AS rows, count(*) FILTER (timestamp < previous) AS stepsBack,
               count(*) FILTER (timestamp < previous) = 0 AS inOrder
-       FROM (SELECT *, lag(timestamp) OVER (PARTITION BY trackName ORDER BY position) AS previous
-             FROM (SELECT trackName, timestamp, (seq * 7919) % 100003 AS position FROM plays))
-       GROUP BY trackName""",
+       FROM (SELECT *, lag(timestamp) OVER (PARTITION BY userId ORDER BY seq) AS previous FROM plays)
+       GROUP BY userId""",
 )
 def _(t):
-    # Reading order: a permutation of the event numbers, so that steps back do occur.
-    shuffled = t.plays.selectExpr("trackName", "timestamp", "(seq * 7919) % 100003 AS position")
-    return gaps.check_chronology(shuffled, "trackName", "position", block=20_000)
+    return gaps.check_chronology(t.plays, "userId", "seq")
 
 
 @query(

@@ -20,7 +20,10 @@ def mean(column: Column | str) -> Column:
 
 
 def rounded_avg(column: Column | str, digits: int) -> Column:
-    return rounded(mean(column), digits)
+    """The average of whole numbers or decimals, rounded half up. The division is decimal too, so
+    a mean that lies exactly between two results is not decided by a binary fraction."""
+    total = F.sum(column).cast(DecimalType(28, 6))
+    return rounded(F.try_divide(total, F.count(column)), digits)
 
 
 def correlation(left: str, right: str) -> Column:

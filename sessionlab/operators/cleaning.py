@@ -14,7 +14,9 @@ NAMES = ("userId", "artistName", "trackName")
 
 
 def require_fields(events: DataFrame, columns: tuple[str, ...] = REQUIRED) -> DataFrame:
-    return events.dropna(subset=list(columns))
+    for name in columns:
+        events = events.filter(F.col(name).isNotNull())
+    return events
 
 
 def require_text(events: DataFrame, columns: tuple[str, ...] = ("artistName", "trackName")) -> DataFrame:
@@ -67,10 +69,12 @@ def clean_events(events: DataFrame, *, exact: bool = False) -> DataFrame:
     """Raw events to plays: required fields, valid time, names not empty, no copies.
 
     The empty-name rule runs before the copies are dropped, so that it filters at the scan and an
-    unusable row never stands in for a usable one.
+    unusable row never stands in for a usable one. It runs once more on the result, where it costs
+    nothing and makes every reader need the names: two readers of different columns then have the
+    same shuffle in their plans and Spark runs it once.
     """
     valid = parse_times(require_text(require_fields(events)))
-    return drop_duplicate_plays(valid, exact=exact)
+    return require_text(drop_duplicate_plays(valid, exact=exact))
 
 
 def normalize_events(

@@ -29,7 +29,8 @@ def _cell(column: Column | str, gap_minutes: int) -> Column:
 def activity_cells(plays: DataFrame, gap_minutes: int = DEFAULT_GAP_MINUTES) -> DataFrame:
     """One row per user and occupied cell."""
     return (
-        plays.select("userId", "timestamp", _cell("timestamp", gap_minutes).alias("cell"))
+        plays.withColumn("cell", _cell("timestamp", gap_minutes))
+        .filter(F.col("userId").isNotNull() & F.col("cell").isNotNull())
         .groupBy("userId", "cell")
         .agg(
             F.count("*").alias("plays"),
