@@ -48,9 +48,7 @@ class Inputs:
     @cached_property
     def plays(self) -> DataFrame:
         """Valid plays with identifiers, whole seconds, and the event number as ``seq``."""
-        number = F.get_json_object("props", "$.k")
-        kind = F.col("event_type")
-        digest = F.md5(kind)
+        kind, number, digest = F.col("event_type"), F.col("number"), F.col("digest")
         uuid = F.concat_ws(
             "-",
             F.substring(digest, 1, 8),
@@ -59,7 +57,11 @@ class Inputs:
             F.substring(digest, 17, 4),
             F.substring(digest, 21, 12),
         )
-        return self.table("events").select(
+        # Two steps, so that the JSON value and the digest are computed once per row.
+        parsed = self.table("events").withColumns(
+            {"number": F.get_json_object("props", "$.k"), "digest": F.md5(kind)}
+        )
+        return parsed.select(
             F.concat(F.lit("user_"), F.lpad(F.col("user_id").cast("string"), 6, "0")).alias("userId"),
             F.date_trunc("SECOND", "ts").cast("timestamp_ntz").alias("timestamp"),
             F.when(kind != "error", uuid).alias("artistId"),
