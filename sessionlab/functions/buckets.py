@@ -94,3 +94,19 @@ MBID_RATE_ELSE = "Very Low Quality (<20% MBID)"
 
 PROFILE_SCORE = ((3, "Complete (3/3)"), (2, "Mostly Complete (2/3)"), (1, "Incomplete (1/3)"))
 PROFILE_SCORE_ELSE = "Empty (0/3)"
+
+ANOMALY_LONG = "Extremely Long Duration"
+ANOMALY_MANY_TRACKS = "Extremely High Track Count"
+ANOMALY_NO_DURATION = "Zero Duration Multi-Track"
+ANOMALY_LOOP = "Potential Repeat Loop"
+ANOMALY_ELSE = "Normal"
+
+OUTLIER_PLAYS = "Extreme play count"
+OUTLIER_PER_DAY = "Extreme daily activity"
+OUTLIER_REPETITION = "Extreme repetition"
+
+BEHAVIOUR_FAST = "Fast Listener"
+BEHAVIOUR_EXPLORER = "Explorer"
+BEHAVIOUR_REPEATER = "Repeater"
+BEHAVIOUR_MARATHON = "Marathon Listener"
+BEHAVIOUR_ELSE = "Balanced Listener"

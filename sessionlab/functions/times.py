@@ -10,6 +10,7 @@ from sessionlab.functions.numbers import rounded
 # Names for dayofweek 1..7.
 DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 WEEKEND_DAYS = (1, 7)
+WEEKEND, WEEKDAY = "Weekend", "Weekday"
 
 
 def parse_event_time(name: str) -> Column:
@@ -39,4 +40,4 @@ def day_name(day_of_week: Column) -> Column:
 
 
 def period_type(day_of_week: Column) -> Column:
-    return F.when(day_of_week.isin(*WEEKEND_DAYS), "Weekend").otherwise("Weekday")
+    return F.when(day_of_week.isin(*WEEKEND_DAYS), WEEKEND).otherwise(WEEKDAY)

@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionlab.functions.keys import has_value
-from sessionlab.operators.cleaning import REQUIRED, missing, normalize_events, parse_times
+from sessionlab.operators.cleaning import (
+    NAMES,
+    REQUIRED,
+    missing,
+    normalize_events,
+    parse_times,
+    sanitize_names,
+)
 
 # Rule limits and message texts.
 MISSING_ID_LIMIT_PCT = 50.0
@@ -47,7 +54,7 @@ def quality_counts(raw: DataFrame) -> DataFrame:
     A row is valid when its time parses and its sanitized names are not empty. All counts come
     from a single pass.
     """
-    rows = normalize_events_flagged(raw)
+    rows = flag_valid_events(raw)
     valid = F.col("isValid")
     return rows.agg(
         F.count("*").alias("rowsRead"),
@@ -60,10 +67,8 @@ def quality_counts(raw: DataFrame) -> DataFrame:
     )
 
 
-def normalize_events_flagged(raw: DataFrame) -> DataFrame:
+def flag_valid_events(raw: DataFrame) -> DataFrame:
     """All raw rows, normalized, with ``isValid`` instead of a filter."""
-    from sessionlab.operators.cleaning import NAMES, sanitize_names
-
     rows = sanitize_names(parse_times(raw, keep_invalid=True))
     valid = F.col("timestamp").isNotNull()
     for name in NAMES:

@@ -176,13 +176,13 @@ def with_anomaly(
     if loop_max_diversity is not None:
         loop = loop & (F.col("diversityRatio") < loop_max_diversity)
     rules = [
-        (F.col("durationHours") > max_hours, "Extremely Long Duration"),
-        (tracks > max_tracks, "Extremely High Track Count"),
-        ((minutes == 0) & (tracks > 1), "Zero Duration Multi-Track"),
-        (loop, "Potential Repeat Loop"),
+        (F.col("durationHours") > max_hours, buckets.ANOMALY_LONG),
+        (tracks > max_tracks, buckets.ANOMALY_MANY_TRACKS),
+        ((minutes == 0) & (tracks > 1), buckets.ANOMALY_NO_DURATION),
+        (loop, buckets.ANOMALY_LOOP),
     ]
-    return sessions.withColumn("anomaly", buckets.first_match(rules, "Normal")).filter(
-        F.col("anomaly") != "Normal"
+    return sessions.withColumn("anomaly", buckets.first_match(rules, buckets.ANOMALY_ELSE)).filter(
+        F.col("anomaly") != buckets.ANOMALY_ELSE
     )
 
 
@@ -234,12 +234,12 @@ def with_behaviour(
     marathon: float = 120.0,
 ) -> DataFrame:
     rules = [
-        (F.col("avgTracksPerMinute") > fast, "Fast Listener"),
-        (F.col("avgDiversityRatio") > explorer, "Explorer"),
-        (F.col("avgDiversityRatio") < repeater, "Repeater"),
-        (F.col("avgDurationMinutes") > marathon, "Marathon Listener"),
+        (F.col("avgTracksPerMinute") > fast, buckets.BEHAVIOUR_FAST),
+        (F.col("avgDiversityRatio") > explorer, buckets.BEHAVIOUR_EXPLORER),
+        (F.col("avgDiversityRatio") < repeater, buckets.BEHAVIOUR_REPEATER),
+        (F.col("avgDurationMinutes") > marathon, buckets.BEHAVIOUR_MARATHON),
     ]
-    return users.withColumn("behaviorPattern", buckets.first_match(rules, "Balanced Listener"))
+    return users.withColumn("behaviorPattern", buckets.first_match(rules, buckets.BEHAVIOUR_ELSE))
 
 
 def behaviour_patterns(labelled: DataFrame) -> DataFrame:

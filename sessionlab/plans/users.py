@@ -232,14 +232,14 @@ def outlier_users(
         return F.col(value) > F.col(f"limits.{limit}") * factor
 
     reasons = [
-        (above("totalPlays", "plays"), "Extreme play count"),
-        (above("playsPerDay", "perDay"), "Extreme daily activity"),
-        (above("trackRepetitionRate", "repetition"), "Extreme repetition"),
+        (above("totalPlays", "plays"), buckets.OUTLIER_PLAYS),
+        (above("playsPerDay", "perDay"), buckets.OUTLIER_PER_DAY),
+        (above("trackRepetitionRate", "repetition"), buckets.OUTLIER_REPETITION),
     ]
     return (
         rates.withColumn("limits", limits)
-        .withColumn("outlierReason", buckets.first_match(reasons, "None"))
-        .filter(F.col("outlierReason") != "None")
+        .filter(reasons[0][0] | reasons[1][0] | reasons[2][0])
+        .withColumn("outlierReason", buckets.first_match(reasons[:-1], reasons[-1][1]))
         .drop("limits")
         .orderBy(F.desc("totalPlays"), "userId")
     )
