@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,15 +34,10 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder of the cluster, ``spark.checkpoint.dir``.
+    """A fresh path in a folder that all executors share.
 
-    Executors on other machines must see what is written there, so a machine-local folder is
-    only accepted in local mode.
+    That is ``spark.checkpoint.dir``, or the warehouse where it is not set. A path without a
+    scheme belongs to the default file system, as everywhere in Spark.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="sessionlab-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/sessionlab/{uuid.uuid4().hex}/{name}"
