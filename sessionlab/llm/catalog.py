@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlab.llm import exact_dedup, line_dedup
+from sessionlab.llm import bytes_bpe, exact_dedup, line_dedup, packing, quality
 from sessionlab.llm.common import table
 
 QUERIES = {}
@@ -61,3 +62,28 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
     )
+
+
+@query("op8_byte_bpe")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    pattern = public_tokenizers.PATTERN
+    tokens = bytes_bpe.encode(table(spark, sf_dir, "documents"), vocabulary, pattern)
+    return bytes_bpe.decode(tokens, vocabulary, pattern).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op10_best_fit_packing")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query("op6_quality_rules")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return quality.judge(table(spark, sf_dir, "documents"), trusted)
