@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlab.llm import bytes_bpe, exact_dedup, line_dedup, packing, quality
+from sessionlab.llm import bytes_bpe, exact_dedup, line_dedup, packing, quality, repeats
 from sessionlab.llm.common import table
 
 QUERIES = {}
@@ -87,3 +87,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
     return quality.judge(table(spark, sf_dir, "documents"), trusted)
+
+
+@query("op3_suffix_dedup")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
