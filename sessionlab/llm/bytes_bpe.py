@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from tokenizers import models
 
 MEMO = 400_000
+ROWS_AT_A_TIME = 200
 UNEVEN_SPACE = re.compile(r"[^\S \n]|[ \n][ \n]")
 
 
@@ -48,7 +50,7 @@ class Codec:
         ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.characters = {b: c for b, c in enumerate(byte_characters())}
         self.pattern = regex.compile(pattern)
-        self.is_word = regex.compile(pattern).fullmatch
+        self.is_match = self.pattern.fullmatch
         self.token_bytes = {rank: token for token, rank in ranks.items()}
         merges = [
             (rank, ranks[token[:i]], ranks[token[i:]], token[:i], token[i:])
@@ -62,56 +64,63 @@ class Codec:
             merges=[(self.as_characters(a), self.as_characters(b)) for *_, a, b in merges],
             ignore_merges=True,
         )
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
+        tokens = [self.token_bytes.get(i, b"") for i in range(max(self.token_bytes, default=-1) + 1)]
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.places = np.cumsum(self.sizes) - self.sizes
+        self.table = np.frombuffer(b"".join(tokens), np.uint8)
 
     def as_characters(self, data: bytes) -> str:
         return data.decode("latin-1").translate(self.characters)
 
-    def _match(self, match: str) -> list[int]:
-        return [token.id for token in self.model.tokenize(self.as_characters(match.encode()))]
+    def _match(self, match: str) -> bytes:
+        tokens = self.model.tokenize(self.as_characters(match.encode()))
+        return array("i", [token.id for token in tokens]).tobytes()
 
-    def _encode_matches(self, text: str) -> list[int]:
-        return [i for match in self.pattern.findall(text) for i in self._match(match)]
-
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
             if len(self.words) >= MEMO:
                 self.words.clear()
             core = word.rstrip(".,")
-            if len(core) < len(word) and core[1:].isalpha() and core.isascii() and self.is_word(core):
+            if len(core) < len(word) and core.isascii() and self.is_match(core) and core[1:].isalpha():
                 ids = self._word(core) + self._match(word[len(core) :])
             else:
-                ids = self._encode_matches(word)
+                ids = b"".join(map(self._match, self.pattern.findall(word)))
             self.words[word] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if UNEVEN_SPACE.search(text):
-            return self._encode_matches(text)
-        ids: list[int] = []
-        known, extend, find = self.words.get, ids.extend, self._word
+            return np.frombuffer(b"".join(map(self._match, self.pattern.findall(text))), np.int32)
+        ids: list[bytes] = []
+        add, known, find = ids.append, self.words.get, self._word
         for number, line in enumerate(text.split("\n")):
             if number:
-                extend(find("\n"))
+                add(find("\n"))
             first, *rest = line.split(" ")
-            extend(find(first))
+            add(find(first))
             for word in rest:
                 word = " " + word
                 found = known(word)
-                extend(find(word) if found is None else found)
-        return ids
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.token_bytes.__getitem__, ids))
-
-    def spans(self, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+                add(find(word) if found is None else found)
+        return np.frombuffer(b"".join(ids), np.int32)
+
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of the tokens, one after the other."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.sizes) or not self.sizes[ids].all()):
+            raise ValueError("an id is not in the vocabulary")
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        shift = np.repeat(self.places[ids] - (ends - sizes), sizes)
+        return self.table[shift + np.arange(len(shift))]
+
+    def spans(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where each token starts, in bytes and in characters. A token that begins inside a
         character has the place of that character."""
-        lengths = np.fromiter((len(self.token_bytes[i]) for i in ids), np.int64, len(ids))
-        starts = np.cumsum(lengths) - lengths
-        data = np.frombuffer(self.decode(ids), np.uint8)
-        character = np.cumsum((data & 0xC0) != 0x80) - 1
+        sizes = self.sizes[ids]
+        starts = np.cumsum(sizes) - sizes
+        character = np.cumsum((self.decode(ids) & 0xC0) != 0x80) - 1
         return starts, character[starts]
 
 
@@ -121,18 +130,30 @@ def codec(rank_file: str, pattern: str) -> Codec:
     return Codec(rank_file, pattern)
 
 
+def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows), kind))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, which bounds what a worker holds besides one batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_A_TIME):
+            yield batch.slice(at, ROWS_AT_A_TIME)
+
+
 def encode(docs: DataFrame, rank_file: str, pattern: str, *, offsets: bool = False) -> DataFrame:
     """doc_id and ``ids``; with ``offsets`` also ``byte_starts`` and ``char_starts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rank_file, pattern)
-        for batch in batches:
+        for batch in _slices(batches):
             ids = [own.encode(text or "") for text in batch["text"].to_pylist()]
-            columns = {"doc_id": batch["doc_id"], "ids": pa.array(ids, pa.list_(pa.int32()))}
+            columns = {"doc_id": batch["doc_id"], "ids": _lists(ids, pa.int32())}
             if offsets:
                 spans = [own.spans(row) for row in ids]
-                columns["byte_starts"] = pa.array([s[0] for s in spans], pa.list_(pa.int64()))
-                columns["char_starts"] = pa.array([s[1] for s in spans], pa.list_(pa.int64()))
+                columns["byte_starts"] = _lists([s[0] for s in spans], pa.int64())
+                columns["char_starts"] = _lists([s[1] for s in spans], pa.int64())
             yield pa.RecordBatch.from_pydict(columns)
 
     schema = "doc_id long, ids array<int>"
@@ -142,26 +163,25 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, *, offsets: bool = Fal
     return rows.mapInArrow(run, schema)
 
 
-def decode(tokens: DataFrame, rank_file: str, pattern: str) -> DataFrame:
-    """Rows of (doc_id, ids) with ``bytes`` and ``text`` added.
+def decode(tokens: DataFrame, rank_file: str, pattern: str, *, text: bool = False) -> DataFrame:
+    """Rows of (doc_id, ids) with ``bytes`` added, and ``text`` where it is asked for.
 
     The ids may end or begin inside a character, as after a cut; ``bytes`` is exact then, and
-    ``text`` has the replacement character in that place.
+    ``text`` has the replacement character in that place. Missing ids are no ids.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rank_file, pattern)
-        for batch in batches:
-            data = [own.decode(ids or []) for ids in batch["ids"].to_pylist()]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch["doc_id"],
-                    "ids": batch["ids"],
-                    "bytes": pa.array(data, pa.binary()),
-                    "text": pa.array([d.decode(errors="replace") for d in data], pa.string()),
-                }
-            )
-
-    return tokens.select("doc_id", "ids").mapInArrow(
-        run, "doc_id long, ids array<int>, bytes binary, text string"
-    )
+        for batch in _slices(batches):
+            ids = [
+                row.values.to_numpy() if row.is_valid else np.zeros(0, np.int32)
+                for row in batch["ids"]
+            ]
+            data = [own.decode(row).tobytes() for row in ids]
+            columns = {"doc_id": batch["doc_id"], "ids": batch["ids"], "bytes": pa.array(data, pa.binary())}
+            if text:
+                columns["text"] = pa.array([d.decode(errors="replace") for d in data], pa.string())
+            yield pa.RecordBatch.from_pydict(columns)
+
+    schema = "doc_id long, ids array<int>, bytes binary" + ", text string" * text
+    return tokens.select("doc_id", "ids").mapInArrow(run, schema)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlab.llm import bytes_bpe, exact_dedup, line_dedup, packing, quality, repeats
+from sessionlab.llm import bytes_bpe, exact_dedup, line_dedup, ngram_join, packing, quality, repeats
 from sessionlab.llm.common import table
 
 QUERIES = {}
@@ -94,3 +94,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query("op1_ngram_jaccard_join")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_classes(table(spark, sf_dir, "documents"))

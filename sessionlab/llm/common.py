@@ -50,3 +50,15 @@ def same_row(left: DataFrame, right: DataFrame, *more: str) -> Column:
 def let(value: Column, use) -> Column:
     """``use(value)`` with the value computed once per row, however often ``use`` names it."""
     return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def meet(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """Inner join on ``keys``, where ``size`` is how many of the rows a group has.
+
+    Rows of a large group stay where they are, because such groups are few and are broadcast; the
+    rest meets in a sort-merge join. ``rows`` is read three times, so it should be a stored frame.
+    """
+    total = rows.agg(F.count("*")).scalar()
+    hot = groups.filter(F.col(size) > total * HOT_SHARE)
+    cold = groups.filter(F.col(size) <= total * HOT_SHARE)
+    return rows.join(F.broadcast(hot), keys).unionByName(rows.join(cold.hint("merge"), keys))

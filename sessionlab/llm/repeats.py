@@ -38,7 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.llm.common import HOT_SHARE, same_row, stored, texts, version
+from sessionlab.llm import hashing
+from sessionlab.llm.common import meet, same_row, stored, texts, version
+from sessionlab.llm.hashing import pair
 from sessionlab.session import scratch_path
 
 THRESHOLD = 400
@@ -49,37 +51,23 @@ PLACE = ["doc_id", "version", "anchor"]
 CLASS = ["seed", "block", "core"]
 ROW = "anchor long, lo int, hi int, seed long, block int, core long, covered long"
 
-# Fixed odd multipliers that spread the bits of a name.
-MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-SHIFT = np.uint64(32)
 # Bits that hold a place in a buffer, which is never longer than two segments and a bit.
 PLACE_MASK = np.uint64((1 << 22) - 1)
 
 
-def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The name of a pair of names. The two places count differently, and no step loses bits
-    before both have entered."""
-    name = left * MIX_A
-    name ^= name >> SHIFT
-    name += right
-    name *= MIX_B
-    name ^= name >> SHIFT
-    return name
-
-
 class Names:
     """Names of the strings of a buffer, by doubling."""
 
     def __init__(self, data: np.ndarray) -> None:
-        start = (data.astype(np.uint64) + np.uint64(1)) * MIX_B
-        self.by_length = {1: start ^ (start >> SHIFT)}
+        start = (data.astype(np.uint64) + np.uint64(1)) * hashing.MIX_B
+        self.by_length = {1: start ^ (start >> hashing.SHIFT)}
 
     def of_length(self, length: int) -> np.ndarray:
         """Names of all strings of a length that is a power of two."""
         if length not in self.by_length:
             half = self.of_length(length // 2)
             at = max(len(half) - length // 2, 0)
-            self.by_length[length] = _pair(half[:at], half[length // 2 :])
+            self.by_length[length] = pair(half[:at], half[length // 2 :])
         return self.by_length[length]
 
     def at(self, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -90,8 +78,8 @@ class Names:
             own = np.flatnonzero(powers == power)
             all_names = self.of_length(int(power))
             first, last = starts[own], starts[own] + lengths[own] - power
-            names[own] = _pair(
-                _pair(all_names[first], all_names[last]), lengths[own].astype(np.uint64)
+            names[own] = pair(
+                pair(all_names[first], all_names[last]), lengths[own].astype(np.uint64)
             )
         return names.view(np.int64)
 
@@ -243,15 +231,6 @@ def split_rows(joined: DataFrame, windows: int) -> DataFrame:
     return joined.select("doc_id", "version", "data", "places").mapInArrow(run, ROWS)
 
 
-def _meet(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
-    """Inner join on ``keys``, where ``size`` is how many of the rows a group has. Large groups
-    are few and are broadcast; the rest meets in a sort-merge join. Reads ``rows`` twice."""
-    total = rows.agg(F.count("*")).scalar()
-    hot = groups.filter(F.col(size) > total * HOT_SHARE)
-    cold = groups.filter(F.col(size) <= total * HOT_SHARE)
-    return rows.join(F.broadcast(hot), keys).unionByName(rows.join(cold.hint("merge"), keys))
-
-
 def settle(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """One round: (spans that go, rows to split).
 
@@ -259,7 +238,7 @@ def settle(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """
     repeated = rows.groupBy(CLASS).agg(F.count("*").alias("members")).filter("members > 1")
     again = stored(
-        _meet(rows, stored(repeated, f"{name}_classes"), CLASS, "members").drop("members"), f"{name}_again"
+        meet(rows, stored(repeated, f"{name}_classes"), CLASS, "members").drop("members"), f"{name}_again"
     )
     string = [*CLASS, "lo", "hi", "covered"]
     strings = stored(
@@ -270,7 +249,7 @@ def settle(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         ),
         f"{name}_strings",
     )
-    gone = _meet(again, strings.filter("copies > 1").select(*string, "copies"), string, "copies").select(
+    gone = meet(again, strings.filter("copies > 1").select(*string, "copies"), string, "copies").select(
         "doc_id",
         "version",
         (F.col("anchor") - F.col("hi")).alias("start"),
@@ -281,7 +260,7 @@ def settle(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         F.count("*").alias("strings"), F.count_if(is_open).alias("open")
     )
     unsettled = classes.filter("open > 0 AND strings > 1").drop("open")
-    left = _meet(strings, unsettled, CLASS, "strings").select(
+    left = meet(strings, unsettled, CLASS, "strings").select(
         "place.*", "lo", "hi", "seed", (~is_open).alias("done")
     )
     return stored(gone, f"{name}_gone"), stored(left, f"{name}_left")
