@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlab.llm import bytes_bpe, exact_dedup, line_dedup, ngram_join, packing, quality, repeats
+from sessionlab.llm import (
+    bytes_bpe,
+    exact_dedup,
+    line_dedup,
+    ngram_join,
+    packing,
+    quality,
+    repeats,
+    toxicity,
+)
 from sessionlab.llm.common import table
 
 QUERIES = {}
@@ -99,3 +108,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_ngram_jaccard_join")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op7_toxicity")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.rate(docs, labels).drop("spans")

@@ -33,20 +33,22 @@ BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
-def word_names(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first byte, name) of every word: runs of bytes that are not ASCII white space, A-Z as
-    a-z. The buffer may hold many texts with white space between them."""
-    inside = ~BLANK[data]
+def word_names(data: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, byte after the last, name) of every word, with A-Z as a-z. Words are runs of
+    bytes that ``blank`` (a flag for every byte value) does not mark, by default ASCII white
+    space. The buffer may hold many texts with white space between them."""
+    inside = ~blank[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     starts = np.flatnonzero(begins)
     if not len(starts):
-        return starts, np.zeros(0, np.uint64)
+        return starts, starts, np.zeros(0, np.uint64)
     place = np.arange(len(data)) - starts[np.maximum(np.cumsum(begins) - 1, 0)]
     values = BYTE[data] * PLACE[place & 1023]
     values[~inside] = 0
     lengths = np.add.reduceat(inside.astype(np.uint64), starts)
-    return starts, pair(np.add.reduceat(values, starts), lengths)
+    names = pair(np.add.reduceat(values, starts), lengths)
+    return starts, starts + lengths.astype(np.int64), names
 
 
 def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -57,7 +59,7 @@ def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray
     """
     sizes = np.array([len(t) + 1 for t in texts])
     ends = np.cumsum(sizes)
-    starts, words = word_names(np.frombuffer(b"\n".join(texts) + b"\n", np.uint8))
+    starts, _, words = word_names(np.frombuffer(b"\n".join(texts) + b"\n", np.uint8))
     owner = np.searchsorted(ends, starts, side="right")
     count = np.bincount(owner, minlength=len(texts))
     names, whole = words, np.ones(len(words), bool)
