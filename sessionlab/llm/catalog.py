@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sessionlab.llm import (
     bytes_bpe,
     exact_dedup,
+    language_model,
     line_dedup,
     ngram_join,
     packing,
@@ -114,3 +115,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.rate(docs, labels).drop("spans")
+
+
+@query("op9_lm_scoring")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(table(spark, sf_dir, "documents"))

@@ -26,7 +26,3 @@ class SideBySide:
         self.first = np.cumsum(lengths) - lengths
         step = np.arange(int(lengths.sum())) - np.repeat(self.first, lengths)
         self.place = starts[step] + np.repeat(rank, lengths) if len(step) else step
-        self.lengths = lengths
-        self.active = active
-        # Where the next item of the same sequence lies, -1 at its end.
-        self.last_place = starts[lengths[lengths > 0] - 1] + rank[lengths > 0]
