@@ -1,23 +1,57 @@
-"""Documents to packed training sequences."""
+"""Documents to packed training sequences, stage by stage.
+
+Every stage but the last returns rows with the columns of ``documents``; each is written to the
+shared folder and read again as the next one's input.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlab.llm import exact_dedup
+from sessionlab.llm import exact_dedup, ngram_join, packing, repeats, toxicity
 from sessionlab.llm.common import stored, table
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted to be toxic. The field is learnt from ``labels``."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the largest doc_id."""
     return exact_dedup.drop_copies(docs)
 
 
-STAGES = [("exact dedup", exact)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every class of near copies the document with the least doc_id."""
+    return ngram_join.keep_one(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the byte strings that stand elsewhere too."""
+    return repeats.strip_repeats(docs)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents with their places in the sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", toxicity_filter),
+    ("exact dedup", exact_duplicates),
+    ("n-gram Jaccard join", near_duplicates),
+    ("suffix-array dedup", repeated_passages),
+    ("best-fit packing", packed_sequences),
+]
+
+# Learning, similarity and tokens cannot be said in SQL; the tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+    for number, (_, stage) in enumerate(STAGES):
+        docs = stored(stage(spark, docs, sf_dir), f"stage_{number}")
     return docs

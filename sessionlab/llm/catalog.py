@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sessionlab.llm import (
     bytes_bpe,
     exact_dedup,
+    html_text,
     language_model,
     line_dedup,
     ngram_join,
@@ -120,3 +121,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_lm_scoring")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_texts(table(spark, sf_dir, "documents"))
+
+
+@query("op5_html_extraction")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))

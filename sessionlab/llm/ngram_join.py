@@ -303,10 +303,8 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def link_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, class_id (the least doc_id of the class), n_links (checked
-    links of the document's shingle set to different sets), class_size and copies (documents with
-    the same set)."""
+def _classes(docs: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, version, class_node, n_links, class_size, copies) of every document."""
     rows = texts(docs).select("doc_id", version().alias("version"), F.encode("text", "UTF-8").alias("data"))
     signed = stored(rows.mapInArrow(_over(_signatures), SIGNATURE), "signatures")
     same_set = ["set_a", "set_b", "shingles"]
@@ -384,14 +382,16 @@ def link_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     described = stored(meet(named, sizes, ["class_node"], "members"), "described")
     with_words = meet(signed.select("doc_id", "version", *same_set), described, same_set, "copies").select(
         "doc_id",
-        F.col("class_node.doc_id").alias("class_id"),
+        "version",
+        "class_node",
         F.col("n_links").cast("long").alias("n_links"),
         "class_size",
         "copies",
     )
     wordless = rows.filter(~F.col("data").cast("string").rlike(r"[^\x20\x09-\x0D]")).select(
         "doc_id",
-        F.col("doc_id").alias("class_id"),
+        "version",
+        F.struct("doc_id", "version").alias("class_node"),
         F.lit(0).cast("long").alias("n_links"),
         F.lit(1).cast("long").alias("class_size"),
         F.lit(1).cast("long").alias("copies"),
@@ -399,8 +399,26 @@ def link_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return with_words.unionByName(wordless)
 
 
+def link_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per document: doc_id, class_id (the least doc_id of the class), n_links (checked
+    links of the document's shingle set to different sets), class_size and copies (documents with
+    the same set)."""
+    return _classes(docs, threshold).select(
+        "doc_id", F.col("class_node.doc_id").alias("class_id"), "n_links", "class_size", "copies"
+    )
+
+
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that stay, with all their columns: the least doc_id of every class."""
-    kept = link_classes(docs, threshold).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    ids = kept.select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["__kept_id"]), "left_semi")
+    """The documents that stay, with all their columns: the one with the least doc_id of every
+    class."""
+    own = F.struct("doc_id", "version") == F.col("class_node")
+    kept = (
+        _classes(docs, threshold)
+        .filter(own)
+        .select(F.col("doc_id").alias("__kept_id"), F.col("version").alias("__kept_version"))
+        .distinct()
+    )
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__kept_id")) & (
+        version(F.coalesce("text", F.lit(""))) == F.col("__kept_version")
+    )
+    return docs.join(kept, same, "left_semi")

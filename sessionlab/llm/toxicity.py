@@ -42,6 +42,7 @@ ITERATIONS = 12
 STEP = 1.0
 DECAY = 0.01
 MIN_SHARE = 0.05  # of the toxic training documents: documents and contexts of a telling word
+MIN_TIMES = 5
 MIN_RATIO = 20.0
 CHUNK = 1 << 24
 
@@ -199,7 +200,7 @@ def telling_words(train: DataFrame) -> np.ndarray:
         F.count_distinct(F.when(is_clean, F.col("text"))).alias("clean"),
         F.count_distinct(F.when(is_toxic, F.col("context"))).alias("contexts"),
     )
-    often = counts.filter(F.least("toxic", "contexts") >= max(2, MIN_SHARE * toxic))
+    often = counts.filter(F.least("toxic", "contexts") >= max(MIN_TIMES, MIN_SHARE * toxic))
     ratio = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("clean") + 0.5) / (clean + 1))
     # Few, because the training documents are: no more than their words.
     names = [r["name"] for r in often.filter(ratio >= MIN_RATIO).select("name").collect()]
