@@ -11,8 +11,9 @@ most ``MAX_TRAIN`` documents of each label, those with the smallest hash, so tha
 broadcast; contexts are counted over the same documents.
 
 Every document is then scored whole: forward and backward recursions give each token's
-probability of T; a document's score is the probability that at least one token is T, taken over
-the tokens as if independent; tokens above one half are its spans, in characters.
+probability of T. What a probability exceeds ``FLOOR`` by counts, so that thousands of nearly
+certain O do not add up; a document's score is the probability that at least one token is T, taken
+over the tokens as if independent. Tokens above one half are its spans, in characters.
 
 A missing or empty text, or one without a word, has score 0 and no spans. Without toxic training
 documents all scores are 0. Repeated rows are scored alike; a missing id is never held out.
@@ -44,6 +45,7 @@ DECAY = 0.01
 MIN_SHARE = 0.05  # of the toxic training documents: documents and contexts of a telling word
 MIN_TIMES = 5
 MIN_RATIO = 20.0
+FLOOR = 0.05
 CHUNK = 1 << 24
 
 SALTS = hashing.numbers(KINDS, 6)
@@ -139,6 +141,14 @@ def marginals(tokens: Tokens, field: Field) -> tuple[np.ndarray, np.ndarray]:
     return tag, moves
 
 
+def document_scores(texts: list[bytes], field: Field) -> tuple[np.ndarray, Tokens, np.ndarray]:
+    """Scores of texts, their tokens and the tokens' probabilities of T."""
+    tokens = tokens_of(texts)
+    tag, _ = marginals(tokens, field)
+    counted = np.clip((tag - FLOOR) / (1 - FLOOR), 0, 1 - 1e-12)
+    return 1 - np.exp(np.bincount(tokens.owner, np.log1p(-counted), len(texts))), tokens, tag
+
+
 def _chunks(data: list[bytes]) -> Iterator[tuple[int, int]]:
     first, size = 0, 0
     for i, text in enumerate(data):
@@ -311,10 +321,7 @@ def score_documents(docs: DataFrame, field: Field) -> DataFrame:
                 if np.isinf(own.bias):
                     scores, spans = np.zeros(len(texts)), [[] for _ in texts]
                 else:
-                    tokens = tokens_of(texts)
-                    tag, _ = marginals(tokens, own)
-                    calm = np.log1p(-np.minimum(tag, 1 - 1e-12))
-                    scores = 1 - np.exp(np.bincount(tokens.owner, calm, len(texts)))
+                    scores, tokens, tag = document_scores(texts, own)
                     spans = _spans(texts, tokens, tag)
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -374,10 +381,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         scores = np.zeros(len(data))
         if not np.isinf(field.value.bias):
             for first, last in _chunks(data):
-                tokens = tokens_of(data[first:last])
-                tag, _ = marginals(tokens, field.value)
-                calm = np.log1p(-np.minimum(tag, 1 - 1e-12))
-                scores[first:last] = 1 - np.exp(np.bincount(tokens.owner, calm, last - first))
+                scores[first:last] = document_scores(data[first:last], field.value)[0]
         return pd.Series(scores)
 
     return docs.filter(score("text") < 0.5)
