@@ -45,6 +45,32 @@ def _(t):
     return quality.quality_warnings(quality.quality_counts(t.raw_plays), limit_pct=20.0)
 
 
+@query(
+    "dq_report",
+    f"""WITH {METRICS_SQL}
+        SELECT TIMESTAMP '2024-01-20' AS timestamp, 'plays' AS dataset, r AS rowsRead, v AS rowsValid,
+               r - v AS rowsDropped, m AS missingTrackId, {r6('m * 100.0 / v')} AS pctMissingTrackId,
+               format('High percentage of missing track IDs: {{:.2f}}%', m * 100.0::DOUBLE / v)
+                 AS warnings,
+               'Consider improving track ID matching or using fallback keys' AS recommendations
+        FROM counts WHERE m * 100.0 / v > 20""",
+)
+def _(t):
+    report = quality.quality_report(
+        quality.quality_counts(t.raw_plays),
+        "plays",
+        limit_pct=20.0,
+        as_of=dt.datetime(2024, 1, 20, tzinfo=dt.timezone.utc),
+    )
+    return report.select(
+        "timestamp",
+        "dataset",
+        "metrics.*",
+        F.array_join("warnings", "; ").alias("warnings"),
+        F.array_join("recommendations", "; ").alias("recommendations"),
+    )
+
+
 @query(
     "dq_sanity_issues",
     """SELECT 'future_timestamps' AS issue, count(*) AS offending FROM id_plays

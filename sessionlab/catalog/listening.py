@@ -32,10 +32,13 @@ def _(t):
 @query(
     "explode_tracks",
     """SELECT userId, concat(userId, '_', sessionNumber) AS userSessionId, trackName, artistName,
-              timestamp FROM session_plays""",
+              timestamp, row_number() OVER (PARTITION BY userId, sessionNumber
+                                            ORDER BY timestamp, trackName, artistName) - 1 AS position
+       FROM session_plays""",
 )
 def _(t):
-    return ops.explode_tracks(ops.nest_tracks(ops.assign_sessions(t.silver, GAP)))
+    # Short parts, so that sessions of these tables have several.
+    return ops.explode_tracks(ops.nest_tracks(ops.assign_sessions(t.silver, GAP), block=2))
 
 
 @query("track_popularity", "SELECT * FROM popularity")

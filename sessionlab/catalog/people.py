@@ -179,6 +179,15 @@ def _(t):
     return _sampled(t)
 
 
+@query(
+    "sampled_most_diverse",
+    f"""SELECT * REPLACE (CAST(trackDiversity AS DOUBLE) AS trackDiversity) FROM ({SAMPLE})
+        ORDER BY trackDiversity DESC, totalEvents DESC, userId LIMIT 10""",
+)
+def _(t):
+    return users.most_diverse(_sampled(t))
+
+
 @query(
     "sampled_behaviour_summary",
     f"""SELECT count(*) AS totalUsers, {r6('avg(totalEvents)')} AS avgEvents,

@@ -216,7 +216,7 @@ def _(t):
     + " FROM sessions",
 )
 def _(t):
-    return session_reports.duration_percentiles(t.sessions(), accuracy=100_000)
+    return session_reports.duration_percentiles(t.sessions())
 
 
 @query(
@@ -354,9 +354,19 @@ def _(t):
     )
 
 
-@query("limit_rows")
+@query(
+    "limit_rows",
+    "SELECT least(count(*), 15) AS rows, least(count(*), 15) AS sessions FROM sessions",
+)
 def _(t):
-    return t.sessions().select("userSessionId", "trackCount").limit(15)
+    # Any 15 sessions will do, so it is counted how many rows there are and how many of them are
+    # sessions, each once.
+    columns = ["userSessionId", "trackCount"]
+    first = t.sessions().select(columns).limit(15)
+    found = first.distinct().join(t.sessions().select(columns), columns, "left_semi")
+    return first.agg(F.count("*").alias("rows")).withColumn(
+        "sessions", found.agg(F.count("*")).scalar()
+    )
 
 
 @query(

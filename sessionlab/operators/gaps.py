@@ -35,9 +35,11 @@ def with_previous_play(
 def gap_stats(plays: DataFrame, gap_minutes: int = DEFAULT_GAP_MINUTES) -> DataFrame:
     """Per user: plays, breaks, sessions, mean and median gap in minutes, plays per session.
 
-    A user's first play counts with gap 0. ``sessions`` is breaks + 1, so it is never zero.
+    A user's first play counts with gap 0. ``sessions`` is breaks + 1, so it is never zero. The
+    median is exact: it is taken from counts per user and gap, which combine before the shuffle.
     """
     gap = F.col("gapSeconds") / 60
+    median = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY gapSeconds)")
     return (
         with_previous_play(plays.select("userId", "timestamp"), gap_minutes=gap_minutes)
         .groupBy("userId")
@@ -45,7 +47,7 @@ def gap_stats(plays: DataFrame, gap_minutes: int = DEFAULT_GAP_MINUTES) -> DataF
             F.count("*").alias("totalPlays"),
             F.sum("isSessionBreak").alias("breaks"),
             F.avg(gap).alias("avgGapMinutes"),
-            F.percentile_approx(gap, 0.5).alias("medianGapMinutes"),
+            (median / 60).alias("medianGapMinutes"),
         )
         .withColumn("sessions", F.col("breaks") + 1)
         .withColumn("playsPerSession", F.try_divide("totalPlays", "sessions"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.errors import PySparkException
@@ -24,7 +26,10 @@ DEFAULT_USERS = 1000
 def partition_advice(
     users: Column | int, cores: int, max_partitions: int = MAX_PARTITIONS
 ) -> Column:
-    """Partitions for a user count: twice the cores or users / 70, between 4 and the maximum."""
+    """Partitions for a user count: twice the cores or users / 70, between 4 and the maximum.
+
+    A report of the published rule, whose maximum of 32 must not size a job; AQE does that.
+    """
     users = F.lit(users) if isinstance(users, int) else users
     by_users = F.floor(users / USERS_PER_PARTITION).cast("int")
     wanted = F.greatest(F.lit(2 * cores), by_users, F.lit(MIN_PARTITIONS))
@@ -77,6 +82,28 @@ def fewer_partitions(df: DataFrame, partitions: int) -> DataFrame:
     return df.coalesce(partitions)
 
 
+def balance_facts(df: DataFrame) -> DataFrame:
+    """One row about how the rows lie: rows, users, partitions, users in more than one partition,
+    and partitions whose number of users is balanced."""
+    report = balance_report(df)
+    places = (
+        df.select(F.spark_partition_id().alias("partitionId"), "userId")
+        .distinct()
+        .groupBy("userId")
+        .agg(F.count("*").alias("partitions"))
+    )
+    return report.agg(
+        F.sum("rows").alias("rows"),
+        F.count("*").alias("partitions"),
+        F.count_if("balanced").alias("balanced"),
+    ).withColumns(
+        {
+            "users": places.agg(F.count("*")).scalar(),
+            "splitUsers": places.agg(F.count_if(F.col("partitions") > 1)).scalar(),
+        }
+    )
+
+
 def balance_report(df: DataFrame) -> DataFrame:
     """Rows and users of every partition as it lies, and whether the users are balanced."""
     users = F.count_distinct("userId")
@@ -88,9 +115,15 @@ def balance_report(df: DataFrame) -> DataFrame:
     )
 
 
-def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
-    """Keep a frame that several reports read. Call ``unpersist`` when they are done."""
-    return df.persist(level)
+@contextmanager
+def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """Keep a frame while several reports read it. Run the reports inside the block: the frame is
+    released at its end."""
+    kept = df.persist(level)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
 
 
 def bernoulli_sample(df: DataFrame, fraction: float = 0.05, seed: int = 42) -> DataFrame:

@@ -35,7 +35,9 @@ def track_popularity(session_plays: DataFrame) -> DataFrame:
     Plays are first reduced to one row per track and session. A session has one user, so counting
     these rows gives the sessions and only the users need a distinct count.
     """
-    per_session = session_plays.groupBy("trackName", "artistName", "userId", "userSessionId").agg(
+    # The number says the same as the longer text of the id.
+    number = "sessionNumber" if "sessionNumber" in session_plays.columns else "userSessionId"
+    per_session = session_plays.groupBy("trackName", "artistName", "userId", number).agg(
         F.count("*").alias("plays"),
         F.min("timestamp").alias("firstPlayed"),
         F.max("timestamp").alias("lastPlayed"),

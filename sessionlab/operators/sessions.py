@@ -20,6 +20,7 @@ from sessionlab.functions.times import hours_between, minutes_between, seconds,
 
 DEFAULT_GAP_MINUTES = 20
 DEFAULT_TOP_SESSIONS = 50
+TRACKS_PER_PART = 1000
 
 
 def _cell(column: Column | str, gap_minutes: int) -> Column:
@@ -107,49 +108,65 @@ def sessionize_with_tracks(plays: DataFrame, gap_minutes: int = DEFAULT_GAP_MINU
 
 
 def plays_of(plays: DataFrame, sessions: DataFrame, gap_minutes: int = DEFAULT_GAP_MINUTES) -> DataFrame:
-    """The plays of the given sessions, with their session columns.
+    """The plays of the given sessions (userId, sessionNumber, userSessionId), with their session.
 
-    Each session lists the cells it spans. No other session of the user can have a play in them,
-    so the join is an equi-join with one match per play; for a short list of sessions Spark
-    broadcasts it and the plays are not shuffled.
+    The sessions name their occupied cells, and no other session has a play in them, so the join
+    is an equi-join with one match per play. How many cells there are depends on the sessions; the
+    cells come out of a shuffle, so Spark knows their size when it chooses the join.
     """
-    spans = sessions.select(
-        "userId",
-        "userSessionId",
-        F.explode(
-            F.sequence(_cell("sessionStart", gap_minutes), _cell("sessionEnd", gap_minutes))
-        ).alias("cell"),
+    key = ["userId", "sessionNumber"]
+    occupied = (
+        number_cells(activity_cells(plays, gap_minutes), gap_minutes)
+        .select(*key, "cell")
+        .join(sessions.select(*key, "userSessionId"), key)
+        .drop("sessionNumber")
     )
     return (
         plays.withColumn("cell", _cell("timestamp", gap_minutes))
-        .join(spans, ["userId", "cell"])
+        .join(occupied, ["userId", "cell"])
         .drop("cell")
     )
 
 
-def nest_tracks(session_plays: DataFrame, part_minutes: int = DEFAULT_GAP_MINUTES) -> DataFrame:
+def with_positions(session_plays: DataFrame, cell_minutes: int = DEFAULT_GAP_MINUTES) -> DataFrame:
+    """Add ``position``, the number of a play in its session, from 0 in order of time, then track
+    and artist. Plays are numbered inside (session, cell); the plays of earlier cells are added."""
+    key = ["userId", "userSessionId"]
+    plays = session_plays.withColumn("cell", _cell("timestamp", cell_minutes))
+    earlier = Window.partitionBy(*key).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = (
+        plays.groupBy(*key, "cell")
+        .agg(F.count("*").alias("inCell"))
+        .withColumn("before", F.coalesce(F.sum("inCell").over(earlier), F.lit(0)))
+        .drop("inCell")
+    )
+    own = Window.partitionBy(*key, "cell").orderBy("timestamp", "trackName", "artistName")
+    return (
+        plays.withColumn("own", F.row_number().over(own))
+        .join(cells, [*key, "cell"])
+        .withColumn("position", F.col("before") + F.col("own") - 1)
+        .drop("cell", "own", "before")
+    )
+
+
+def nest_tracks(session_plays: DataFrame, block: int = TRACKS_PER_PART) -> DataFrame:
     """The ordered track list of each session, as arrays of structs.
 
-    A session has no upper size, so its list comes in parts of ``part_minutes``: one row per
-    session and part, parts numbered by time, tracks in time order within a part.
+    A session has no upper size, so its list comes in parts of ``block`` tracks: one row per
+    session and part. Every play is there, with its position in the session.
     """
-    track = F.struct("timestamp", "trackName", "artistName")
+    track = F.struct("position", "timestamp", "trackName", "artistName")
     return (
-        session_plays.withColumn("part", _cell("timestamp", part_minutes))
+        with_positions(session_plays)
+        .withColumn("part", F.floor(F.col("position") / block))
         .groupBy("userId", "userSessionId", "part")
         .agg(F.array_sort(F.collect_list(track)).alias("tracks"))
     )
 
 
 def explode_tracks(nested: DataFrame) -> DataFrame:
-    return nested.select(
-        "userId", "userSessionId", F.explode("tracks").alias("track")
-    ).select(
-        "userId",
-        "userSessionId",
-        F.col("track.trackName").alias("trackName"),
-        F.col("track.artistName").alias("artistName"),
-        F.col("track.timestamp").alias("timestamp"),
+    return nested.select("userId", "userSessionId", F.explode("tracks").alias("track")).select(
+        "userId", "userSessionId", "track.trackName", "track.artistName", "track.timestamp", "track.position"
     )
 
 

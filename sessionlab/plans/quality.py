@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlab.functions.keys import has_value
@@ -25,17 +26,29 @@ MISSING_ID_WARNING = "High percentage of missing track IDs"
 MISSING_ID_ADVICE = "Consider improving track ID matching or using fallback keys"
 
 
+def completeness_counts() -> list[Column]:
+    """Raw rows and those with all required fields, as aggregates."""
+    complete = F.lit(True)
+    for name in REQUIRED:
+        complete = complete & F.col(name).isNotNull()
+    return [F.count(F.lit(1)).alias("rawRows"), F.count_if(complete).alias("completeRows")]
+
+
+def completeness(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """The counts as a frame, where they were observed while the rows were used."""
+    return spark.createDataFrame(
+        [(counts["rawRows"], counts["completeRows"])], "rawRows long, completeRows long"
+    )
+
+
 def clean_metrics(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     """One row: size and range of the cleaned plays, completeness of the raw ones.
 
-    Completeness is measured before cleaning; afterwards no NULL is left to find.
+    ``raw`` is the raw events or their :func:`completeness`. Completeness is measured before
+    cleaning; afterwards no NULL is left to find.
     """
-    complete = F.lit(True)
-    for name in REQUIRED:
-        complete = complete & F.col(name).isNotNull()
-    score = raw.agg(
-        F.try_divide(F.count_if(complete) * F.lit(100.0), F.count("*")).alias("qualityScore")
-    ).scalar()
+    counts = raw if "rawRows" in raw.columns else raw.agg(*completeness_counts())
+    score = counts.select(F.try_divide(F.col("completeRows") * F.lit(100.0), "rawRows")).scalar()
     return (
         cleaned.agg(
             F.count("*").alias("totalRecords"),
@@ -103,7 +116,11 @@ def quality_warnings(counts: DataFrame, limit_pct: float = MISSING_ID_LIMIT_PCT)
 
 
 def quality_report(
-    counts: DataFrame, dataset: str, limit_pct: float = MISSING_ID_LIMIT_PCT
+    counts: DataFrame,
+    dataset: str,
+    limit_pct: float = MISSING_ID_LIMIT_PCT,
+    *,
+    as_of: dt.datetime | None = None,
 ) -> DataFrame:
     """One row: time, data set, metrics as a struct, lists of warnings and recommendations."""
     high = F.col("pctMissingTrackId") > limit_pct
@@ -112,7 +129,7 @@ def quality_report(
     )
     nothing = F.array().cast("array<string>")
     return counts.select(
-        F.current_timestamp().alias("timestamp"),
+        (F.current_timestamp() if as_of is None else F.lit(as_of)).alias("timestamp"),
         F.lit(dataset).alias("dataset"),
         F.struct("*").alias("metrics"),
         F.when(high, F.array(warning)).otherwise(nothing).alias("warnings"),

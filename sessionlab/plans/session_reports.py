@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from sessionlab.operators.percentiles import percentiles
 from sessionlab.functions import buckets
 from sessionlab.functions.buckets import Rules
 from sessionlab.functions.numbers import correlation, mean, rounded, rounded_avg
@@ -55,14 +56,10 @@ def top_duration_buckets(
 def duration_percentiles(
     sessions: DataFrame,
     column: str = "durationMinutes",
-    percentiles: tuple[float, ...] = DURATION_PERCENTILES,
-    accuracy: int = 10_000,
+    shares: tuple[float, ...] = DURATION_PERCENTILES,
 ) -> DataFrame:
-    """Columns p10, p25, …: one sketch holds them all. Ranks are off by at most rows / accuracy."""
-    values = sessions.agg(F.percentile_approx(column, list(percentiles), accuracy).alias("values"))
-    return values.select(
-        *[F.col("values")[i].alias(f"p{round(p * 100)}") for i, p in enumerate(percentiles)]
-    )
+    """Columns p10, p25, …, exact."""
+    return percentiles(sessions, column, shares, [f"p{round(p * 100)}" for p in shares])
 
 
 def describe(df: DataFrame, *columns: str) -> DataFrame:

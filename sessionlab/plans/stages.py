@@ -5,11 +5,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from sessionlab.config import JobConfig
 from sessionlab.operators.cleaning import clean_events
-from sessionlab.operators.layout import by_user, fewer_partitions
+from sessionlab.operators.layout import by_user
 from sessionlab.operators.ranking import ranking_metrics, top_songs, track_popularity
 from sessionlab.operators.sessions import (
     explode_tracks,
@@ -19,7 +19,7 @@ from sessionlab.operators.sessions import (
     sessionize,
     top_sessions,
 )
-from sessionlab.plans.quality import clean_metrics
+from sessionlab.plans.quality import clean_metrics, completeness, completeness_counts
 from sessionlab.session import use_utc
 from sessionlab.sources.readers import read_events, read_parquet
 from sessionlab.sources.writers import write_parquet, write_single_tsv
@@ -31,14 +31,16 @@ SESSIONS = ("silver", "user-sessions.parquet")
 TOP_SESSIONS = ("gold", "top-sessions.parquet")
 TOP_TRACKS = ("gold", "top-session-tracks.parquet")
 TOP_SONGS = ("results", "top_songs.tsv")
-GOLD_PARTITIONS = 4
 
 
 def clean(spark: SparkSession, config: JobConfig) -> DataFrame:
-    """Store the cleaned plays; returns their metrics, computed from the stored files."""
+    """Store the cleaned plays; returns their metrics, computed from the stored files. The raw
+    file is read once: its rows are counted while they are cleaned."""
     raw = read_events(spark, config.events_path)
-    path = write_parquet(by_user(clean_events(raw)), config.output(*PLAYS))
-    return clean_metrics(raw, read_parquet(spark, path))
+    seen = Observation("raw events")
+    observed = raw.observe(seen, *completeness_counts())
+    path = write_parquet(by_user(clean_events(observed)), config.output(*PLAYS))
+    return clean_metrics(completeness(spark, seen.get), read_parquet(spark, path))
 
 
 def analyze_sessions(spark: SparkSession, config: JobConfig) -> DataFrame:
@@ -49,8 +51,8 @@ def analyze_sessions(spark: SparkSession, config: JobConfig) -> DataFrame:
     sessions = read_parquet(spark, stored)
 
     best = top_sessions(sessions, config.top_sessions)
-    gold = write_parquet(fewer_partitions(best, GOLD_PARTITIONS), config.output(*TOP_SESSIONS))
-    tracks = nest_tracks(plays_of(plays, read_parquet(spark, gold), gap), gap)
+    gold = write_parquet(best, config.output(*TOP_SESSIONS))
+    tracks = nest_tracks(plays_of(plays, read_parquet(spark, gold), gap))
     write_parquet(tracks, config.output(*TOP_TRACKS))
     return session_metrics(sessions)
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionlab.operators.percentiles import percentiles
 from sessionlab.functions import buckets
 from sessionlab.functions.buckets import Rules
 from sessionlab.functions.numbers import mean, rounded, rounded_avg
@@ -44,16 +45,15 @@ def user_activity(plays: DataFrame) -> DataFrame:
 
 def activity_distribution(activity: DataFrame) -> DataFrame:
     plays = F.col("totalPlays")
+    names = ["medianPlays", "p90Plays", "p95Plays"]
+    limits = percentiles(activity, "totalPlays", (0.5, 0.9, 0.95), names)
     return activity.agg(
         F.count("*").alias("totalUsers"),
         F.avg(plays).alias("avgPlays"),
         F.stddev(plays).alias("stddevPlays"),
         F.min(plays).alias("minPlays"),
         F.max(plays).alias("maxPlays"),
-        F.percentile_approx(plays, 0.5).alias("medianPlays"),
-        F.percentile_approx(plays, 0.9).alias("p90Plays"),
-        F.percentile_approx(plays, 0.95).alias("p95Plays"),
-    )
+    ).withColumns({name: limits.select(name).scalar() for name in names})
 
 
 def play_segments(
@@ -220,16 +220,17 @@ def outlier_users(
 ) -> DataFrame:
     """Users above ``factor`` times the percentile of plays, plays per day or repetition."""
     rates = with_rates(activity)
-    limits = rates.agg(
-        F.struct(
-            F.percentile_approx("totalPlays", percentile).alias("plays"),
-            F.percentile_approx("playsPerDay", percentile).alias("perDay"),
-            F.percentile_approx("trackRepetitionRate", percentile).alias("repetition"),
-        ).alias("limits")
-    ).scalar()
+    limit = {
+        name: percentiles(rates, column, (percentile,), (name,)).scalar()
+        for name, column in (
+            ("plays", "totalPlays"),
+            ("perDay", "playsPerDay"),
+            ("repetition", "trackRepetitionRate"),
+        )
+    }
 
-    def above(value: str, limit: str) -> Column:
-        return F.col(value) > F.col(f"limits.{limit}") * factor
+    def above(value: str, name: str) -> Column:
+        return F.col(value) > F.col(f"limits.{name}") * factor
 
     reasons = [
         (above("totalPlays", "plays"), buckets.OUTLIER_PLAYS),
@@ -237,7 +238,7 @@ def outlier_users(
         (above("trackRepetitionRate", "repetition"), buckets.OUTLIER_REPETITION),
     ]
     return (
-        rates.withColumn("limits", limits)
+        rates.withColumn("limits", F.struct(*[value.alias(name) for name, value in limit.items()]))
         .filter(reasons[0][0] | reasons[1][0] | reasons[2][0])
         .withColumn("outlierReason", buckets.first_match(reasons[:-1], reasons[-1][1]))
         .drop("limits")
@@ -259,6 +260,11 @@ def sampled_behaviour(sample: DataFrame, sessions: DataFrame) -> DataFrame:
     )
 
 
+def most_diverse(behaviour: DataFrame, limit: int = 10) -> DataFrame:
+    """The users whose sampled plays repeat least."""
+    return behaviour.orderBy(F.desc("trackDiversity"), F.desc("totalEvents"), "userId").limit(limit)
+
+
 def behaviour_summary(behaviour: DataFrame) -> DataFrame:
     return behaviour.agg(
         F.count("*").alias("totalUsers"),

@@ -32,9 +32,9 @@ def top_track_stats(ranked: DataFrame) -> DataFrame:
     )
 
 
-def artist_diversity(ranked: DataFrame, limit: int = 10) -> DataFrame:
-    """Which artists the ranked list consists of."""
-    return (
+def artist_diversity(ranked: DataFrame, limit: int | None = None) -> DataFrame:
+    """Which artists the ranked list consists of; all of them unless a limit is given."""
+    artists = (
         ranked.groupBy("artistName")
         .agg(
             F.count("*").alias("trackCount"),
@@ -42,8 +42,8 @@ def artist_diversity(ranked: DataFrame, limit: int = 10) -> DataFrame:
             F.avg("rank").alias("avgRank"),
         )
         .orderBy(F.desc("trackCount"), F.desc("totalPlays"), "artistName")
-        .limit(limit)
     )
+    return artists if limit is None else artists.limit(limit)
 
 
 def recheck_ranks(ranked: DataFrame, order: Sequence[Column]) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def write_parquet(df: DataFrame, path: str, *, partition_by: tuple[str, ...] = ()) -> str:
@@ -14,13 +15,25 @@ def write_parquet(df: DataFrame, path: str, *, partition_by: tuple[str, ...] = (
     return path
 
 
-def write_user_partitioned(df: DataFrame, path: str, user: str = "userId") -> str:
-    """One folder per user.
+def write_user_partitioned(
+    df: DataFrame, path: str, user: str = "userId", *, folders: int | None = None
+) -> str:
+    """One folder per user or, with ``folders``, that many folders by the user's hash.
 
-    Rebalancing on the user first keeps the number of files near one per user, while AQE still
-    splits a user that is larger than the advisory partition size over several tasks.
+    A folder per user suits few users; millions of folders are slow to list, and then the column
+    ``userFolder`` tells where a user lies. Rebalancing first keeps the number of files near one
+    per folder, while AQE still splits a folder that is larger than the advisory partition size
+    over several tasks. Read a folder per user with a schema: see ``readers.read_parquet``.
     """
-    return write_parquet(df.hint("rebalance", user), path, partition_by=(user,))
+    if folders is None:
+        return write_parquet(df.hint("rebalance", user), path, partition_by=(user,))
+    hashed = df.withColumn("userFolder", user_folder(user, folders))
+    return write_parquet(hashed.hint("rebalance", "userFolder"), path, partition_by=("userFolder",))
+
+
+def user_folder(user: str, folders: int) -> Column:
+    """The number of the folder that holds a user."""
+    return F.pmod(F.xxhash64(user), F.lit(folders)).cast("int")
 
 
 def write_user_bucketed(df: DataFrame, table: str, buckets: int, *, path: str | None = None) -> str:
@@ -63,23 +76,30 @@ def write_single_tsv(df: DataFrame, path: str) -> str:
 
     For small results such as a ranking: the rows pass through one task. The file is written to
     a folder next to the target and then renamed by the file system of that path, so it works on
-    any Hadoop file system.
+    any Hadoop file system. An older result moves aside first and comes back if the rename fails;
+    the staging folder goes in any case.
     """
     spark = df.sparkSession
-    staging = f"{path}.staging"
-    write_text_table(df.coalesce(1), staging, header=True)
-
     hadoop = spark._jvm.org.apache.hadoop.fs
-    target, folder = hadoop.Path(path), hadoop.Path(staging)
+    target, staging, aside = (hadoop.Path(path + end) for end in ("", ".staging", ".previous"))
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    parts = [s.getPath() for s in fs.globStatus(hadoop.Path(folder, "part-*"))]
-    if len(parts) != 1:
-        raise RuntimeError(f"expected one part file in {staging}, found {len(parts)}")
-    if fs.exists(target):
-        fs.delete(target, False)
-    if not fs.rename(parts[0], target):
-        raise RuntimeError(f"could not rename {parts[0]} to {path}")
-    fs.delete(folder, True)
+    try:
+        write_text_table(df.coalesce(1), f"{path}.staging", header=True)
+        parts = [s.getPath() for s in fs.globStatus(hadoop.Path(staging, "part-*"))]
+        if len(parts) != 1:
+            raise RuntimeError(f"expected one part file in {path}.staging, found {len(parts)}")
+        replaces = fs.exists(target)
+        if replaces:
+            fs.delete(aside, True)
+            if not fs.rename(target, aside):
+                raise RuntimeError(f"could not move the older {path} aside")
+        if not fs.rename(parts[0], target):
+            if replaces:
+                fs.rename(aside, target)
+            raise RuntimeError(f"could not rename {parts[0]} to {path}")
+        fs.delete(aside, True)
+    finally:
+        fs.delete(staging, True)
     return path
 
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sessionlab.operators import ranking
+from sessionlab.operators.percentiles import percentiles
 from sessionlab.operators.sessions import assign_sessions, sessionize, sessionize_with_tracks, top_sessions
 from sessionlab.operators.shares import long_tail, with_percentage
 from sessionlab.plans import content, profiles, session_reports, temporal, users, validation
@@ -219,6 +221,18 @@ def test_percentiles_and_description(spark):
 # Time
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_percentiles_equal_the_sorted_list(spark, seed):
+    random.seed(seed)
+    values = [random.choice([0.0, -3.5, 1e-9, 7.25, 1e6, random.uniform(-5, 5)]) for _ in range(200)]
+    frame = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+    shares = (0.0, 0.01, 0.5, 0.95, 1.0)
+    got = percentiles(frame, "x", shares, [f"p{i}" for i in range(5)]).first()
+    ordered = sorted(values)
+    assert list(got) == [ordered[max(math.ceil(200 * s), 1) - 1] for s in shares]
+    assert percentiles(frame.limit(0), "x", (0.5,), ("m",)).first().m is None
+
+
 def test_low_activity_and_hour_outliers(make_plays):
     start = dt.datetime(2023, 1, 2)
     rows = [("u", start + dt.timedelta(days=d, minutes=i), f"{i}") for d in range(5) for i in range(40)]

@@ -192,10 +192,12 @@ def test_plays_of_returns_exactly_the_plays_of_the_sessions(make_plays):
 def test_nested_tracks_come_back_in_order(make_plays):
     rows = random_rows(300)
     assigned = ops.assign_sessions(make_plays(rows), 20)
-    nested = ops.nest_tracks(assigned)
+    nested = ops.nest_tracks(assigned, block=3)
     for r in nested.collect():
         times = [t.timestamp for t in r.tracks]
         assert times == sorted(times)
+        assert [t.position for t in r.tracks] == list(range(3 * r.part, 3 * r.part + len(times)))
+        assert len(times) <= 3
     columns = ["userId", "userSessionId", "trackName", "artistName", "timestamp"]
     back = sorted(map(tuple, ops.explode_tracks(nested).select(columns).collect()))
     assert back == sorted(map(tuple, assigned.select(columns).collect()))

@@ -69,12 +69,41 @@ def test_single_tsv_is_one_file_with_that_name(spark, tmp_path):
     assert tuple(readers.read_ranked_songs(spark, str(path)).first()) == (1, "second", "A", 3, 2, 1)
 
 
+def test_an_older_result_survives_a_failed_write(spark, tmp_path):
+    path = tmp_path / "top.tsv"
+    writers.write_single_tsv(spark.sql("SELECT 1 AS a"), str(path))
+    with pytest.raises(Exception):
+        writers.write_single_tsv(spark.sql("SELECT raise_error('no') AS a"), str(path))
+    assert path.read_text().splitlines() == ["a", "1"]
+    writers.write_single_tsv(spark.sql("SELECT 2 AS a"), str(path))
+    assert path.read_text().splitlines() == ["a", "2"]
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["top.tsv"]
+
+
+def test_cached_frames_are_released(spark):
+    frame = spark.range(10)
+    with layout.cached(frame) as kept:
+        assert kept.count() == 10 and kept.is_cached
+    assert not frame.is_cached
+
+
 def test_results_with_other_names_and_bad_numbers(spark, tmp_path):
     path = write(tmp_path / "r.tsv", [("rank", "track_name", "artist_name", "play_count"), ("1", "x", "A", "many")])
     names = {"trackName": "track_name", "artistName": "artist_name", "playCount": "play_count"}
-    assert readers.read_ranked_songs(spark, path, names).first().asDict() == {
+    assert readers.read_ranked_songs(spark, path, names, ["rank", *names]).first().asDict() == {
         "rank": 1, "trackName": "x", "artistName": "A", "playCount": None,
     }
+    in_file = ["rank", "track_name", "artist_name", "play_count"]
+    some = readers.read_ranked_songs(spark, path, names, ["rank", "trackName"], in_file)
+    assert tuple(some.first()) == (1, "x")
+
+
+def test_results_without_a_wanted_column_raise(spark, tmp_path):
+    path = write(tmp_path / "r.tsv", [("rank", "trackName", "playCount"), ("1", "x", "2")])
+    with pytest.raises(ValueError, match="artistName"):
+        readers.read_ranked_songs(spark, path, file_columns=["rank", "trackName", "playCount"])
+    with pytest.raises(Exception, match="header"):
+        readers.read_ranked_songs(spark, path).collect()
 
 
 def test_user_partitions_and_metrics(spark, make_plays, tmp_path):
@@ -84,6 +113,16 @@ def test_user_partitions_and_metrics(spark, make_plays, tmp_path):
     assert folders == ["userId=u1", "userId=u2"]
     assert readers.read_parquet(spark, path).count() == 3
 
+    ids = ["007", "2024-01-01", "a/b", "000123"]
+    plays = make_plays([(user, "10:00", "a") for user in ids])
+    path = writers.write_user_partitioned(plays, str(tmp_path / "odd"))
+    back = readers.read_parquet(spark, path, schema=plays.schema)
+    assert sorted(r.userId for r in back.collect()) == sorted(ids)
+    path = writers.write_user_partitioned(plays, str(tmp_path / "hashed"), folders=2)
+    hashed = readers.read_parquet(spark, path)
+    assert sorted(r.userId for r in hashed.collect()) == sorted(ids)
+    assert hashed.filter(F.col("userFolder") != writers.user_folder("userId", 2)).count() == 0
+
     metrics = spark.createDataFrame([("rows_read", "3")], METRIC)
     path = writers.write_metrics_csv(metrics, str(tmp_path / "metrics"))
     (part,) = (tmp_path / "metrics").glob("part-*")
