@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlab.llm.chains import SideBySide
-from sessionlab.llm.common import same_row, stored, texts, version
+from sessionlab.llm.common import hash_sample, same_row, stored, texts, version
 
 HEAD = 1 << 14
 STATES = 6
@@ -107,9 +107,19 @@ class Head:
         return np.log10((count + 1) / (self.tokens + self.types + 1))
 
 
-def head_of(counts: DataFrame, ends: int, size: int = HEAD) -> Head:
+def head_of(counts: DataFrame, ends: int, size: int | None = None) -> Head:
+    """The most frequent words. Words are first counted by the size of their count, which says how
+    frequent a word of the head is at least; so only few words are sorted."""
+    size = HEAD if size is None else size
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("types")).first()
-    rows = counts.orderBy(F.desc("n"), "word").limit(size).collect()
+    level = F.floor(F.log2("n") * 8)
+    least, words = 0, 0
+    levels = counts.groupBy(level.alias("level")).agg(F.count("*").alias("words")).collect()
+    for row in sorted(levels, key=lambda r: -r["level"]):  # a few hundred rows
+        least, words = row["level"], words + row["words"]
+        if words >= size:
+            break
+    rows = counts.filter(level >= least).orderBy(F.desc("n"), "word").limit(size).collect()
     return Head(
         [bytes(r["word"]) for r in rows],
         np.array([r["n"] for r in rows], np.int64),
@@ -303,8 +313,8 @@ def fit(encoded: DataFrame, head: Head) -> Model:
     counts = np.concatenate([[head.ends, head.tail_tokens], head.counts]).astype(float)
     model = _random_model(len(counts), counts)
     training = encoded.filter(~F.col("held_out"))
-    order = [F.xxhash64("doc_id", "version"), "doc_id", "version"]
-    warm_up = stored(training.orderBy(*order).limit(WARM_UP).select("symbols").repartition(4), "warm_up")
+    chosen = hash_sample(training.select("doc_id", "version", "symbols"), ["doc_id", "version"], WARM_UP)
+    warm_up = stored(chosen.select("symbols").repartition(4), "warm_up")
     for _ in range(WARM_UP_ROUNDS):
         model = baum_welch_round(warm_up, model)
     for _ in range(ROUNDS):
