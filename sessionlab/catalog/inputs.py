@@ -47,7 +47,11 @@ class Inputs:
 
     @cached_property
     def plays(self) -> DataFrame:
-        """Valid plays with identifiers, whole seconds, and the event number as ``seq``."""
+        """Valid plays with identifiers, whole seconds, and the event number as ``seq``.
+
+        The events lie in one month. Users are therefore moved by 0, 200, 400 or 600 days, which
+        keeps the gaps between a user's plays, and some artist ids are malformed.
+        """
         kind, number, digest = F.col("event_type"), F.col("number"), F.col("digest")
         uuid = F.concat_ws(
             "-",
@@ -63,8 +67,13 @@ class Inputs:
         )
         return parsed.select(
             F.concat(F.lit("user_"), F.lpad(F.col("user_id").cast("string"), 6, "0")).alias("userId"),
-            F.date_trunc("SECOND", "ts").cast("timestamp_ntz").alias("timestamp"),
-            F.when(kind != "error", uuid).alias("artistId"),
+            (
+                F.date_trunc("SECOND", "ts").cast("timestamp_ntz")
+                + F.make_dt_interval(days=(F.col("user_id") % 4 * 200).cast("int"))
+            ).alias("timestamp"),
+            F.when(F.col("event_id") % 53 == 0, F.substring(uuid, 2, 100))
+            .when(kind != "error", uuid)
+            .alias("artistId"),
             F.concat(F.lit("artist "), kind).alias("artistName"),
             F.when(
                 number.cast("int") % 3 != 0, F.concat(F.lit("t-"), F.md5(F.concat(kind, number)))

@@ -57,10 +57,12 @@ FROM {numbered} GROUP BY userId, sessionNumber"""
 TABLES = {
     "plays": """
 SELECT concat('user_', lpad(CAST(user_id AS VARCHAR), 6, '0')) AS userId,
-       CAST(date_trunc('SECOND', ts) AS TIMESTAMP) AS timestamp,
-       CASE WHEN event_type <> 'error' THEN concat_ws('-', substr(md5(event_type),1,8),
+       CAST(date_trunc('SECOND', ts) AS TIMESTAMP) + to_days(CAST(user_id % 4 * 200 AS INTEGER))
+         AS timestamp,
+       CASE WHEN event_type <> 'error' OR event_id % 53 = 0 THEN
+         substr(concat_ws('-', substr(md5(event_type),1,8),
             substr(md5(event_type),9,4), substr(md5(event_type),13,4), substr(md5(event_type),17,4),
-            substr(md5(event_type),21,12)) END AS artistId,
+            substr(md5(event_type),21,12)), CASE WHEN event_id % 53 = 0 THEN 2 ELSE 1 END) END AS artistId,
        concat('artist ', event_type) AS artistName,
        CASE WHEN CAST(json_extract_string(props,'$.k') AS INT) % 3 <> 0
             THEN concat('t-', md5(concat(event_type, json_extract_string(props,'$.k')))) END AS trackId,
