@@ -12,10 +12,12 @@ graph) and the links that were checked for it.
    probability (uniform prior) that the similarity reaches the threshold is that of at most m
    successes in n + 1 trials; the pair is dropped when this falls below ``TOLERANCE``.
 5. The pairs that are left are checked on their whole shingle sets, and linked nodes are joined.
-6. Buckets that still hold nodes of different classes are compared in full, in blocks of
-   ``BLOCK`` nodes against blocks. Only pairs of different classes that survive the pruning
-   leave a task, to be checked exactly. So no link between two classes is lost, and inside a class
-   the redundant links are not listed.
+6. Nodes that met one centre and are still in different classes are compared with each other, in
+   blocks of ``BLOCK`` nodes against blocks: first their MinHash values, which leaves the nodes
+   that have a likely partner in another class, then those with their shingle sets in the task, so
+   that pairs are pruned and checked where they meet. A task returns only links that join classes
+   it has not joined yet. So no link between two classes is lost, and neither likely pairs nor the
+   redundant links inside a class are listed.
 
 Large buckets, hubs and classes never meet in one task: counts combine before the shuffle, groups
 above a fixed share of all rows are broadcast, and blocks bound what a task compares.
@@ -46,6 +48,7 @@ HASHES = BANDS * ROWS
 STEP = 16
 TOLERANCE = 1e-4
 BLOCK = 256
+COPIES_PER = 1000
 CHUNK = 1 << 20  # bytes of text that are hashed at a time
 
 FLIP, TURN = hashing.numbers(HASHES, 3), hashing.numbers(HASHES, 4)
@@ -172,131 +175,175 @@ def _survivors(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.mapInArrow(_over(run), PAIR)
 
 
+def _numbered(pairs: DataFrame, name: str) -> DataFrame:
+    """The pairs with ``a_copy`` and ``b_copy``: a hub's pairs are dealt to several copies of the
+    hub, one for every ``COPIES_PER`` of them."""
+    for side in ("a", "b"):
+        degrees = stored(pairs.groupBy(side).agg(F.count("*").alias("degree")), f"{name}_{side}_degrees")
+        copies = F.floor(F.col("degree") / COPIES_PER).cast("int") + 1
+        copy = F.pmod(F.xxhash64("a", "b"), copies).cast("int").alias(f"{side}_copy")
+        pairs = stored(meet(pairs, degrees, [side], "degree").select(*pairs.columns, copy), f"{name}_{side}")
+    return pairs
+
+
 def _with_node(pairs: DataFrame, side: str, nodes: DataFrame, value: str) -> DataFrame:
-    """Add ``value`` of the node in column ``side``, as ``<side>_<value>``. A hub's pairs are
-    spread: its value is copied once for every 1000 of them."""
-    degrees = pairs.groupBy(side).agg((F.floor(F.count("*") / 1000) + 1).cast("int").alias("copies"))
-    spread = nodes.join(degrees, nodes["node"] == degrees[side]).select(
-        F.col(side).alias("node"),
-        "copies",
-        F.col(value).alias(f"{side}_{value}"),
-        F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"),
-    )
-    # Without hubs there is one copy; a pair's copy number needs the number of copies of its node.
-    hubs = degrees.filter("copies > 1").withColumnRenamed("copies", "hub_copies")
-    marked = pairs.join(F.broadcast(hubs), side, "left").withColumn(
-        "copy", F.pmod(F.xxhash64("a", "b"), F.coalesce("hub_copies", F.lit(1))).cast("int")
-    )
-    met = (marked[side] == spread["node"]) & (marked["copy"] == spread["copy"])
-    return marked.join(spread.hint("merge"), met).select(
-        *[marked[c] for c in pairs.columns], f"{side}_{value}"
-    )
+    """Add ``value`` of the node in column ``side``, as ``<side>_<value>``."""
+    used = pairs.select(F.col(side).alias("node"), F.col(f"{side}_copy").alias("copy")).distinct()
+    spread = nodes.join(used, "node").select("node", "copy", F.col(value).alias(f"{side}_{value}"))
+    met = (pairs[side] == spread["node"]) & (pairs[f"{side}_copy"] == spread["copy"])
+    return pairs.join(spread.hint("merge"), met).drop("node", "copy")
+
+
+def _linked(left: np.ndarray, right: np.ndarray, threshold: float) -> bool:
+    """Whether two sorted shingle sets are similar enough."""
+    short, long = (left, right) if len(left) < len(right) else (right, left)
+    if len(short) < threshold * len(long):
+        return False
+    at = np.minimum(np.searchsorted(long, short), len(long) - 1)
+    common = int((long[at] == short).sum())
+    return common >= threshold * (len(left) + len(right) - common)
 
 
 def _similar(pairs: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b, a_names, b_names) whose shingle sets are similar enough."""
 
-    def linked(left: bytes, right: bytes) -> bool:
-        a, b = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-        short, long = (a, b) if len(a) < len(b) else (b, a)
-        if len(short) < threshold * len(long):
-            return False
-        at = np.searchsorted(long, short)
-        common = int((long[np.minimum(at, len(long) - 1)] == short).sum())
-        return common >= threshold * (len(a) + len(b) - common)
-
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        stay = [
-            i
-            for i, (left, right) in enumerate(
-                zip(batch["a_names"].to_pylist(), batch["b_names"].to_pylist())
-            )
-            if linked(left, right)
-        ]
+        both = zip(batch["a_names"].to_pylist(), batch["b_names"].to_pylist())
+        sets = ((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in both)
+        stay = [i for i, (a, b) in enumerate(sets) if _linked(a, b, threshold)]
         yield batch.select(["a", "b"]).take(pa.array(stay, pa.int64()))
 
     return pairs.mapInArrow(_over(run), PAIR)
 
 
-def _check(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float, name: str) -> DataFrame:
-    """The linked ones of the candidate pairs (a, b)."""
-    left = _with_node(pairs, "a", nodes, "signature")
-    survivors = stored(
-        _survivors(_with_node(left, "b", nodes, "signature"), threshold), f"{name}_survivors"
-    )
+def _star_links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The linked ones of the pairs (centre, node)."""
+    numbered = _numbered(pairs, "stars")
+    left = _with_node(numbered, "a", nodes, "signature")
+    likely = _survivors(_with_node(left, "b", nodes, "signature"), threshold)
+    survivors = _numbered(stored(likely, "survivors"), "survivors")
     with_left = _with_node(survivors, "a", sets, "names")
-    return stored(_similar(_with_node(with_left, "b", sets, "names"), threshold), f"{name}_links")
+    return stored(_similar(_with_node(with_left, "b", sets, "names"), threshold), "star_links")
 
 
-def _cross_pairs(members: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of different classes in one bucket that survive the pruning.
+def _in_blocks(members: DataFrame, function, schema: str) -> DataFrame:
+    """``function(left rows, right rows, whether they are the same block)`` for every pair of
+    blocks of every family.
 
-    ``members``: (bucket, bucket_size, node, class_id, signature). A bucket is dealt into blocks by
-    hash; every pair of blocks is one group of rows, read in order from a sorted partition.
+    ``members``: (center, size, node, ...). The nodes of a family are dealt into blocks by hash;
+    every pair of blocks is one group of rows, read in order from a sorted partition, so a task
+    holds two blocks however large the family is.
     """
-    blocks = F.floor((F.col("bucket_size") + (BLOCK - 1)) / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int")
+    blocks = F.floor((F.col("size") + (BLOCK - 1)) / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node", "center"), F.col("blocks")).cast("int")
+    values = [c for c in members.columns if c != "size"]
+    keys = ["center_id", "center_version", "low", "high"]
     dealt = (
         members.withColumn("blocks", blocks)
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "bucket",
+            F.coalesce("center.doc_id", F.lit(-1)).alias("center_id"),
+            F.col("center.version").alias("center_version"),
             F.least("own", "other").alias("low"),
             F.greatest("own", "other").alias("high"),
             "own",
-            "node",
-            "class_id",
-            "signature",
+            *values,
         )
     )
-    keys = ["bucket", "low", "high"]
     count = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = dealt.repartition(count, *keys).sortWithinPartitions(*keys)
-    limits = least_matches(threshold)
 
-    def pairs_of(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        group = group.combine_chunks()
-        signatures = _matrix(group["signature"])
-        parts = group["class_id"].combine_chunks().flatten()
-        ids, versions = (np.unique(p.fill_null(-1).to_numpy(), return_inverse=True)[1] for p in parts)
-        classes = ids * (versions.max() + 1) + versions
-        own, low, high = (group[c].to_numpy() for c in ("own", "low", "high"))
-        left = np.flatnonzero(own == low)
-        right = np.flatnonzero(own == high)
-        nodes = group["node"].combine_chunks()
-        for i in left:
-            others = right[(classes[right] != classes[i])]
-            if low[0] == high[0]:
-                others = others[others > i]
-            if len(others):
-                stay = prune(np.broadcast_to(signatures[i], (len(others), HASHES)), signatures[others], limits)
-                if len(stay):
-                    a = nodes.take(pa.array(np.full(len(stay), i)))
-                    yield pa.RecordBatch.from_arrays([a, nodes.take(pa.array(others[stay]))], ["a", "b"])
+    def apply(waiting: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+        low, high, own = (group[c].to_numpy() for c in ("low", "high", "own"))
+        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        yield from function(group, left, right, low[0] == high[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
+        last_key = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys_now = [batch[k].to_numpy() for k in keys]
-            cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys_now], axis=0)) + 1
+            columns = [batch[k].to_numpy() for k in keys]
+            cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
             edges = [0, *cuts.tolist(), batch.num_rows]
-            if waiting and any(
-                waiting[-1][k][-1].as_py() != batch[k][0].as_py() for k in keys
-            ):
-                yield from pairs_of(pa.Table.from_batches(waiting))
-                waiting = []
             for first, last in zip(edges[:-1], edges[1:]):
-                if first:
-                    yield from pairs_of(pa.Table.from_batches(waiting))
+                key = tuple(c[first] for c in columns)
+                if waiting and key != last_key:
+                    yield from apply(waiting)
                     waiting = []
+                last_key = key
                 waiting.append(batch.slice(first, last - first))
         if waiting:
-            yield from pairs_of(pa.Table.from_batches(waiting))
+            yield from apply(waiting)
 
-    return ordered.mapInArrow(run, PAIR)
+    return ordered.mapInArrow(run, schema)
+
+
+def _numbers_of(column: pa.Array) -> np.ndarray:
+    """The nodes of a column as small numbers."""
+    ids, versions = (np.unique(p.fill_null(-1).to_numpy(), return_inverse=True)[1] for p in column.flatten())
+    return ids * (versions.max() + 1) + versions
+
+
+def _likely_members(members: DataFrame, threshold: float) -> DataFrame:
+    """(center, node) of the nodes with a likely partner of another class among the members."""
+    limits = least_matches(threshold)
+
+    def compare(group, left, right, same) -> Iterator[pa.RecordBatch]:
+        signatures, classes = _matrix(group["signature"]), _numbers_of(group["class_id"])
+        likely = np.zeros(group.num_rows, bool)
+        for i in left:
+            others = right[classes[right] != classes[i]]
+            others = others[others > i] if same else others
+            if len(others):
+                stay = prune(
+                    np.broadcast_to(signatures[i], (len(others), HASHES)), signatures[others], limits
+                )
+                likely[others[stay]] = True
+                likely[i] |= len(stay) > 0
+        rows = pa.array(np.flatnonzero(likely))
+        yield pa.RecordBatch.from_arrays([group[c].take(rows) for c in ("center", "node")], ["center", "node"])
+
+    return _in_blocks(members, compare, f"center {NODE}, node {NODE}").distinct()
+
+
+def _joining_links(members: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that join the classes of the members of a family, checked on their sets."""
+    limits = least_matches(threshold)
+
+    def compare(group, left, right, same) -> Iterator[pa.RecordBatch]:
+        signatures, classes = _matrix(group["signature"]), _numbers_of(group["class_id"])
+        sets = [np.frombuffer(names, np.uint64) for names in group["names"].to_pylist()]
+        joined = {c: c for c in classes.tolist()}
+
+        def root(c: int) -> int:
+            while joined[c] != c:
+                joined[c] = joined[joined[c]]
+                c = joined[c]
+            return c
+
+        links = []
+        for i in left:
+            others = right[classes[right] != classes[i]]
+            others = others[others > i] if same else others
+            if not len(others):
+                continue
+            stay = prune(
+                np.broadcast_to(signatures[i], (len(others), HASHES)), signatures[others], limits
+            )
+            for j in others[stay]:
+                a, b = root(classes[i]), root(classes[j])
+                if a != b and _linked(sets[i], sets[j], threshold):
+                    joined[a] = b
+                    links.append((i, j))
+        if links:
+            ends = [group["node"].take(pa.array(side)) for side in zip(*links)]
+            yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+    return _in_blocks(members, compare, PAIR)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -341,26 +388,34 @@ def _classes(docs: DataFrame, threshold: float) -> DataFrame:
         .dropDuplicates(["node"]),
         "names",
     )
-    links = _check(stars, nodes, sets, threshold, "stars")
+    links = _star_links(stars, nodes, sets, threshold)
     classes = connected_components(links)
 
-    labelled = members.join(classes, "node", "left").withColumn(
-        "class_id", F.coalesce("label", "node")
+    families = stored(members.select("center", "node").distinct(), "families")
+    labelled = stored(
+        families.join(classes, "node", "left").select(
+            "center", "node", F.coalesce("label", "node").alias("class_id")
+        ),
+        "labelled",
+    )
+    mixed = (
+        labelled.groupBy("center")
+        .agg(F.count("*").alias("size"), F.min("class_id").alias("low"), F.max("class_id").alias("high"))
+        .filter("low != high")
+        .select("center", "size")
     )
-    labelled = stored(labelled.select("bucket", "bucket_size", "node", "class_id"), "labelled")
-    mixed = labelled.groupBy("bucket").agg(
-        F.count("*").alias("rows"),
-        F.min("class_id").alias("first"), F.max("class_id").alias("last"),
-    ).filter("first != last").select("bucket", "rows")
-    undecided = meet(labelled, mixed, ["bucket"], "rows").drop("rows")
-    crossing = stored(
-        _ordered(
-            _cross_pairs(undecided.join(nodes.select("node", "signature"), "node"), threshold)
-        ).join(_ordered(stars), ["a", "b"], "left_anti"),
-        "crossing",
+    undecided = stored(meet(labelled, stored(mixed, "mixed"), ["center"], "size"), "undecided")
+    signatures = nodes.select("node", "signature")
+    likely = stored(_likely_members(undecided.join(signatures, "node"), threshold), "likely")
+    sizes = stored(likely.groupBy("center").agg(F.count("*").alias("size")), "likely_sizes")
+    compared = (
+        meet(likely, sizes, ["center"], "size")
+        .join(undecided.select("center", "node", "class_id"), ["center", "node"])
+        .join(signatures, "node")
+        .join(sets, "node")
     )
-    more = _check(crossing, nodes, sets, threshold, "crossing")
-    all_links = stored(links.unionByName(more), "links")
+    more = stored(_joining_links(compared, threshold), "joining_links")
+    all_links = stored(_ordered(links.unionByName(more)), "links")
     final = connected_components(all_links)
 
     ends = all_links.select("a").unionByName(all_links.select(F.col("b").alias("a")))
