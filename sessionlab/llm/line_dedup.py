@@ -19,7 +19,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.llm.common import HOT_SHARE, let, same_row, stored, texts, version
+from sessionlab.llm.common import let, meet, same_row, stored, texts, version
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -53,28 +53,27 @@ def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def shared_lines(hashes: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(h1, h2, docs, keep_id) of the keys found in at least ``min_docs`` documents."""
+    """(h1, h2, docs, keep_id, lines) of the keys found in at least ``min_docs`` documents."""
     ranges = int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     streams = hashes.repartitionByRange(ranges, "h1", "h2", "doc_id").sortWithinPartitions(
         "h1", "h2", "doc_id", "pos"
     )
     # The first aggregate needs no exchange: a range holds all rows of a (hash, document).
-    per_document = streams.groupBy("h1", "h2", "doc_id").agg(F.min("pos").alias("first_pos"))
+    per_document = streams.groupBy("h1", "h2", "doc_id").agg(F.count("*").alias("lines"))
     return (
         per_document.groupBy("h1", "h2")
-        .agg(F.count("*").alias("docs"), F.max("doc_id").alias("keep_id"))
+        .agg(
+            F.count("*").alias("docs"),
+            F.max("doc_id").alias("keep_id"),
+            F.sum("lines").alias("lines"),
+        )
         .filter(F.col("docs") >= min_docs)
     )
 
 
 def dropped_lines(hashes: DataFrame, shared: DataFrame) -> DataFrame:
-    """(doc_id, version, pos) of the lines that go. Keys of many documents are few and are
-    broadcast, so their lines are not gathered; the others meet in a sort-merge join."""
-    total = hashes.agg(F.count("*")).scalar()
-    hot = shared.filter(F.col("docs") > total * HOT_SHARE)
-    cold = shared.filter(F.col("docs") <= total * HOT_SHARE)
-    key = ["h1", "h2"]
-    met = hashes.join(F.broadcast(hot), key).unionByName(hashes.join(cold.hint("merge"), key))
+    """(doc_id, version, pos) of the lines that go. The lines of a frequent key are not gathered."""
+    met = meet(hashes, shared, ["h1", "h2"], "lines")
     return met.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "version", "pos")
 
 
