@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from sessionlab.llm import hashing
 from sessionlab.llm.chains import SideBySide
-from sessionlab.llm.common import stored
+from sessionlab.llm.common import hash_sample, stored
 
 MAX_TRAIN = 3000
 BITS = 18
@@ -46,7 +46,7 @@ MIN_SHARE = 0.05  # of the toxic training documents: documents and contexts of a
 MIN_TIMES = 5
 MIN_RATIO = 20.0
 FLOOR = 0.05
-CHUNK = 1 << 24
+CHUNK = 1 << 21
 
 SALTS = hashing.numbers(KINDS, 6)
 LETTER = np.zeros(256, bool)
@@ -149,15 +149,15 @@ def document_scores(texts: list[bytes], field: Field) -> tuple[np.ndarray, Token
     return 1 - np.exp(np.bincount(tokens.owner, np.log1p(-counted), len(texts))), tokens, tag
 
 
-def _chunks(data: list[bytes]) -> Iterator[tuple[int, int]]:
-    first, size = 0, 0
-    for i, text in enumerate(data):
-        size += len(text)
-        if size >= CHUNK:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(data):
-        yield first, len(data)
+def _groups(data: list[bytes]) -> Iterator[np.ndarray]:
+    """Row numbers in groups of about CHUNK bytes. Texts of like length go together, so that few
+    groups have many steps; a group is as small as the longest text allows."""
+    sizes = np.array([len(text) for text in data], np.int64)
+    order = np.argsort(-sizes, kind="stable")
+    group = np.cumsum(sizes[order]) // CHUNK
+    for rows in np.split(order, np.flatnonzero(np.diff(group)) + 1):
+        if len(rows):
+            yield rows
 
 
 def held_out(doc_id: Column, folds: int = 5, fold: int = 0) -> Column:
@@ -173,8 +173,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
         .groupBy(F.col("doc_id").cast("long").alias("label_id"))
         .agg(F.max("toxic").alias("toxic"))
     )
-    order = [F.xxhash64("label_id"), F.col("label_id")]
-    both = [chosen.filter(F.col("toxic") == t).orderBy(*order).limit(max_train) for t in (0, 1)]
+    both = [hash_sample(chosen.filter(F.col("toxic") == t), ["label_id"], max_train) for t in (0, 1)]
     rows = docs.select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("data"))
     return (
         rows.join(F.broadcast(both[0].unionByName(both[1])), F.col("doc_id") == F.col("label_id"))
@@ -189,15 +188,15 @@ def telling_words(train: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, toxic = batch["data"].to_pylist(), batch["toxic"].to_numpy()
-            for first, last in _chunks(data):
-                tokens = tokens_of(data[first:last])
-                own = np.array([zlib.crc32(text) for text in data[first:last]], np.int64)
+            for rows in _groups(data):
+                tokens = tokens_of([data[i] for i in rows])
+                own = np.array([zlib.crc32(data[i]) for i in rows], np.int64)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "name": pa.array(tokens.names.view(np.int64)),
                         "context": pa.array(hashing.pair(*tokens.features[2:]).view(np.int64)),
                         "text": pa.array(own[tokens.owner]),
-                        "toxic": pa.array(toxic[first:last][tokens.owner], pa.int32()),
+                        "toxic": pa.array(toxic[rows][tokens.owner], pa.int32()),
                     }
                 )
 
@@ -229,9 +228,9 @@ def known_features(train: DataFrame, telling: np.ndarray) -> tuple[np.ndarray, n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, toxic = batch["data"].to_pylist(), batch["toxic"].to_numpy()
-            for first, last in _chunks(data):
-                tokens = tokens_of(data[first:last])
-                gold = _gold(tokens, toxic[first:last], telling)
+            for rows in _groups(data):
+                tokens = tokens_of([data[i] for i in rows])
+                gold = _gold(tokens, toxic[rows], telling)
                 found = tokens.features[:, gold].ravel().view(np.int64)
                 # All tokens are counted under 0, which no feature of a word is.
                 yield pa.RecordBatch.from_pydict(
@@ -285,10 +284,10 @@ def _slope(train: DataFrame, field: Field, telling: np.ndarray) -> np.ndarray:
         total = np.zeros(FEATURES + 6)
         for batch in batches:
             data, toxic = batch["data"].to_pylist(), batch["toxic"].to_numpy()
-            for first, last in _chunks(data):
-                tokens = tokens_of(data[first:last])
+            for rows in _groups(data):
+                tokens = tokens_of([data[i] for i in rows])
                 tag, expected = marginals(tokens, field)
-                gold = _gold(tokens, toxic[first:last], telling)
+                gold = _gold(tokens, toxic[rows], telling)
                 error = gold - tag
                 for kind in places(tokens.features, field.known):
                     total[: FEATURES + 1] += np.bincount(kind, error, FEATURES + 1)
@@ -316,8 +315,8 @@ def score_documents(docs: DataFrame, field: Field) -> DataFrame:
         own = shared.value
         for batch in batches:
             data = batch["data"].to_pylist()
-            for first, last in _chunks(data):
-                texts = data[first:last]
+            for rows in _groups(data):
+                texts = [data[i] for i in rows]
                 if np.isinf(own.bias):
                     scores, spans = np.zeros(len(texts)), [[] for _ in texts]
                 else:
@@ -325,7 +324,7 @@ def score_documents(docs: DataFrame, field: Field) -> DataFrame:
                     spans = _spans(texts, tokens, tag)
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "doc_id": batch["doc_id"].slice(first, last - first),
+                        "doc_id": batch["doc_id"].take(pa.array(rows)),
                         "score": pa.array(scores),
                         "spans": pa.array(spans, SPANS),
                     }
@@ -380,8 +379,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         data = [(t or "").encode() for t in texts]
         scores = np.zeros(len(data))
         if not np.isinf(field.value.bias):
-            for first, last in _chunks(data):
-                scores[first:last] = document_scores(data[first:last], field.value)[0]
+            for rows in _groups(data):
+                scores[rows] = document_scores([data[i] for i in rows], field.value)[0]
         return pd.Series(scores)
 
     return docs.filter(score("text") < 0.5)
