@@ -1,7 +1,7 @@
 import corpus_pipeline
 from sessionlab.llm.common import stored
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = "/root/testdata/sf0.01"
 
 
 def test_stages_take_effect_and_keep_the_columns(spark):
@@ -24,7 +24,7 @@ def test_stages_take_effect_and_keep_the_columns(spark):
     )
     frames = [docs.unionByName(planted)]
     for name, stage in corpus_pipeline.STAGES:
-        frames.append(stored(stage(spark, frames[-1], "/root/testdata/sf0.1"), name.replace(" ", "_")))
+        frames.append(stored(stage(spark, frames[-1], FOLDER), name.replace(" ", "_")))
     ids = [{r.doc_id - 10**6 for r in f.filter("doc_id >= 1000000").select("doc_id").collect()} for f in frames]
     assert all(f.columns == docs.columns for f in frames[:-1])
     assert ids[1] == {1, 2, 3, 4, 5, 6}
