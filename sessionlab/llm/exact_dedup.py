@@ -17,7 +17,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlab.llm.common import HOT_SHARE, stored, texts
+from sessionlab.llm.common import meet, stored, texts
 from sessionlab.session import scratch_path
 
 DIGEST = "digest binary, keep_id bigint, group_size bigint"
@@ -41,28 +41,22 @@ class DigestIndex:
         return self.spark.table(self.table)
 
     def add(self, digests: DataFrame) -> None:
-        """Append the digests of a batch (doc_id, digest) that the index does not hold yet."""
+        """Append the digests of a batch (doc_id, digest) that the index does not hold yet.
+
+        The groups are stored first: Spark would otherwise move the anti join below the aggregate
+        and shuffle every row of a large group."""
         groups = digests.groupBy("digest").agg(
             F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
         )
-        new = groups.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
+        new = stored(groups, "digest_groups").join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
         new.write.insertInto(self.table)
 
     def classify(self, digests: DataFrame) -> DataFrame:
-        """Each (doc_id, digest) with the keep_id and group_size of its digest.
-
-        Digests of large groups are few and are broadcast, so the rows of a large group stay
-        where they are; all others meet the index in a sort-merge join.
-        """
-        total = digests.agg(F.count("*")).scalar()
-        hot = self.rows().filter(F.col("group_size") > total * HOT_SHARE)
-        marked = digests.join(F.broadcast(hot), "digest", "left")
-        cold = marked.filter(F.col("group_size").isNull()).select(*digests.columns)
-        return (
-            marked.filter(F.col("group_size").isNotNull())
-            .unionByName(cold.join(self.rows().hint("merge"), "digest"))
-            .select(*digests.columns, "keep_id", "group_size")
-        )
+        """Each (doc_id, digest) with the keep_id and group_size of its digest. The rows of a large
+        group stay where they are. ``digests`` is a stored frame."""
+        batch = digests.groupBy("digest").agg(F.count("*").alias("in_batch"))
+        known = stored(batch.join(self.rows().hint("merge"), "digest"), "known_digests")
+        return meet(digests, known, ["digest"], "in_batch").drop("in_batch")
 
 
 def digests_of(docs: DataFrame) -> DataFrame:
