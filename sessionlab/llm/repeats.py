@@ -37,9 +37,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sessionlab.llm import hashing
-from sessionlab.llm.common import meet, same_row, stored, texts, version
+from sessionlab.llm.common import meet, stored
 from sessionlab.llm.hashing import pair
 from sessionlab.session import scratch_path
 
@@ -266,30 +267,38 @@ def settle(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return stored(gone, f"{name}_gone"), stored(left, f"{name}_left")
 
 
-def _bucketed(df: DataFrame, name: str) -> DataFrame:
-    """The texts by document, so that every later join on the document reads them in place."""
-    spark = df.sparkSession
+KEY = ["doc_id", "version"]
+
+
+def _bucketed(docs: DataFrame) -> DataFrame:
+    """(doc_id, version, data, rest): the texts by document, so that every later join on the
+    document reads them in place. The key has no NULL, because a NULL-safe join could not use the
+    buckets: a missing id is 0 and shows in the version. ``rest`` has the other columns."""
+    spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"{name}_{uuid.uuid4().hex}"
-    keys = ["doc_id", "version"]
-    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys)
-    writer.option("path", scratch_path(spark, name)).saveAsTable(table)
+    table = f"texts_{uuid.uuid4().hex}"
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("doc_id"),
+        F.xxhash64(text, F.col("doc_id").isNull()).alias("version"),
+        F.encode(text, "UTF-8").alias("data"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest"),
+    )
+    writer = rows.repartition(buckets, *KEY).write.bucketBy(buckets, *KEY)
+    writer.option("path", scratch_path(spark, "texts")).saveAsTable(table)
     return spark.table(table)
 
 
 def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(texts: doc_id, version, data; spans: doc_id, version, start, end). Spans may overlap."""
-    plain = texts(docs).select("doc_id", version().alias("version"), F.encode("text", "UTF-8").alias("data"))
-    data = _bucketed(plain.withColumn("doc_id", F.col("doc_id")), "texts")
+    """(texts as in :func:`_bucketed`; spans: doc_id, version, start, end). Spans may overlap."""
+    data = _bucketed(docs)
     gone, left = settle(stored(first_rows(data), "round_0"), "round_0")
     spans = [gone]
     for number, windows in enumerate(ROUNDS, start=1):
-        places = left.groupBy("doc_id", "version").agg(
+        places = left.groupBy(KEY).agg(
             F.collect_list(F.struct("anchor", "lo", "hi", "seed", "done")).alias("places")
         )
-        joined = data.join(places.hint("shuffle_hash"), same_row(data, places)).select(
-            data["doc_id"], data["version"], "data", "places"
-        )
+        joined = data.join(places.hint("shuffle_hash"), KEY)
         gone, left = settle(stored(split_rows(joined, windows), f"round_{number}"), f"round_{number}")
         spans.append(gone)
     all_spans = spans[0]
@@ -317,33 +326,53 @@ def _cut(data: bytes, spans: list[dict]) -> tuple[int, int, bytes]:
     return removed, runs, b"".join(kept)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, version, n_bytes, n_removed, n_spans, kept (the bytes that stay)."""
+def cut_texts(docs: DataFrame) -> DataFrame:
+    """Per document: ``rest`` (its other columns), n_bytes, n_removed, n_spans, kept (the bytes
+    that stay) and kept_text, which has no character that lost some of its bytes."""
     data, spans = repeated_spans(docs)
-    lists = spans.groupBy("doc_id", "version").agg(
-        F.collect_set(F.struct("start", "end")).alias("spans")
-    )
-    joined = data.join(lists.hint("shuffle_hash"), same_row(data, lists), "left").select(
-        data["doc_id"], data["version"], "data", "spans"
-    )
+    lists = spans.groupBy(KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    joined = data.join(lists.hint("shuffle_hash"), KEY, "left").select("rest", "data", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, spans = batch["data"].to_pylist(), batch["spans"].to_pylist()
-            cuts = [_cut(d, s or []) for d, s in zip(data, spans)]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch["doc_id"],
-                    "version": batch["version"],
-                    "n_bytes": pa.array([len(d) for d in data], pa.int64()),
-                    "n_removed": pa.array([c[0] for c in cuts], pa.int64()),
-                    "n_spans": pa.array([c[1] for c in cuts], pa.int64()),
-                    "kept": pa.array([c[2] for c in cuts], pa.binary()),
-                }
-            )
-
-    return joined.mapInArrow(
-        run, "doc_id long, version long, n_bytes long, n_removed long, n_spans long, kept binary"
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                data, spans = part["data"].to_pylist(), part["spans"].to_pylist()
+                cuts = [_cut(d, s or []) for d, s in zip(data, spans)]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "rest": part["rest"],
+                        "n_bytes": pa.array([len(d) for d in data], pa.int64()),
+                        "n_removed": pa.array([c[0] for c in cuts], pa.int64()),
+                        "n_spans": pa.array([c[1] for c in cuts], pa.int64()),
+                        "kept": pa.array([c[2] for c in cuts], pa.binary()),
+                        "kept_text": pa.array(
+                            [c[2].decode(errors="ignore") for c in cuts], pa.string()
+                        ),
+                    }
+                )
+
+    schema = (
+        StructType()
+        .add("rest", joined.schema["rest"].dataType)
+        .add("n_bytes", "long")
+        .add("n_removed", "long")
+        .add("n_spans", "long")
+        .add("kept", "binary")
+        .add("kept_text", "string")
     )
+    return joined.mapInArrow(run, schema)
+
+
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """Per document: doc_id, n_bytes, n_removed, n_spans, kept (the bytes that stay)."""
+    cut = cut_texts(docs.select(F.col("doc_id").cast("long"), "text"))
+    return cut.select("rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept")
 
 
+def strip_repeats(docs: DataFrame) -> DataFrame:
+    """The documents with what stays of their texts. ``n_chars``, where there is one, follows."""
+    columns = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
+    return cut_texts(docs).select(
+        *[columns.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns]
+    )
