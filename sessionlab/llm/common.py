@@ -55,13 +55,15 @@ def let(value: Column, use) -> Column:
 def meet(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
     """Inner join on ``keys``, where ``size`` is how many of the rows a group has.
 
-    Rows of a large group stay where they are, because such groups are few and are broadcast; the
-    rest meets in a sort-merge join. ``rows`` is read three times, so it should be a stored frame.
+    Rows of a large group stay where they are, because such groups are few and are broadcast; they
+    also leave the other rows before these are shuffled for a sort-merge join. ``rows`` and
+    ``groups`` are read several times, so they should be stored frames.
     """
     total = rows.agg(F.count("*")).scalar()
     hot = groups.filter(F.col(size) > total * HOT_SHARE)
     cold = groups.filter(F.col(size) <= total * HOT_SHARE)
-    return rows.join(F.broadcast(hot), keys).unionByName(rows.join(cold.hint("merge"), keys))
+    others = rows.join(F.broadcast(hot.select(keys)), keys, "left_anti")
+    return rows.join(F.broadcast(hot), keys).unionByName(others.join(cold.hint("merge"), keys))
 
 
 def hash_sample(df: DataFrame, keys: list[str], size: int) -> DataFrame:
