@@ -135,11 +135,11 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows), kind))
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_A_TIME) -> Iterator[pa.RecordBatch]:
     """Few rows at a time, which bounds what a worker holds besides one batch."""
     for batch in batches:
-        for at in range(0, batch.num_rows, ROWS_AT_A_TIME):
-            yield batch.slice(at, ROWS_AT_A_TIME)
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def encode(docs: DataFrame, rank_file: str, pattern: str, *, offsets: bool = False) -> DataFrame:
@@ -147,7 +147,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, *, offsets: bool = Fal
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rank_file, pattern)
-        for batch in _slices(batches):
+        for batch in slices(batches):
             ids = [own.encode(text or "") for text in batch["text"].to_pylist()]
             columns = {"doc_id": batch["doc_id"], "ids": _lists(ids, pa.int32())}
             if offsets:
@@ -172,7 +172,7 @@ def decode(tokens: DataFrame, rank_file: str, pattern: str, *, text: bool = Fals
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rank_file, pattern)
-        for batch in _slices(batches):
+        for batch in slices(batches):
             ids = [
                 row.values.to_numpy() if row.is_valid else np.zeros(0, np.int32)
                 for row in batch["ids"]

@@ -29,12 +29,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sessionlab.llm.bytes_bpe import byte_characters
+from sessionlab.llm.bytes_bpe import byte_characters, slices
 from sessionlab.llm.common import stored
 
 CAPACITY = 4096
 END_ID = 1
-MEMO = 500_000
+MEMO = 200_000
+ROWS_AT_A_TIME = 500
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLAN = "length long, first_rank long, items long, first_bin long, per_bin long, first_offset long"
 
@@ -107,7 +108,7 @@ def cut(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, *, with_ids:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = word_codec(vocabulary)
-        for batch in batches:
+        for batch in slices(batches, ROWS_AT_A_TIME):
             rows = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 ids = codec.encode(text or "") + end

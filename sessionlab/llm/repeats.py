@@ -47,7 +47,7 @@ from sessionlab.session import scratch_path
 THRESHOLD = 400
 SEED = 64  # bytes of an anchor
 ROUNDS = (64, 8, 1)  # windows to a row after the first round
-SEGMENT = 1 << 20  # window starts that a task holds in memory at a time
+SEGMENT = 1 << 19  # window starts that a task holds in memory at a time
 PLACE = ["doc_id", "version", "anchor"]
 CLASS = ["seed", "block", "core"]
 ROW = "anchor long, lo int, hi int, seed long, block int, core long, covered long"

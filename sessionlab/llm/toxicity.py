@@ -46,7 +46,7 @@ MIN_SHARE = 0.05  # of the toxic training documents: documents and contexts of a
 MIN_TIMES = 5
 MIN_RATIO = 20.0
 FLOOR = 0.05
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 SALTS = hashing.numbers(KINDS, 6)
 LETTER = np.zeros(256, bool)
