@@ -1,19 +1,24 @@
 """Toxic spans with a linear-chain conditional random field.
 
 Tags are O and T. Documents are labelled, tokens are not, so tokens get their training labels from
-the documents: a word is telling when it stands in many toxic training documents, in as many
-different contexts (the words before and after, which copies of a document repeat), and in hardly
-any clean one. The tokens of telling words in toxic documents are T. The
-field learns weights of features (the word, its ending, the words before and after), of which it
-knows those that stand at least twice with a T, and of the four transitions. Every iteration of
+the documents: a word is telling when it stands in ``MIN_TIMES`` toxic training documents, in as
+many different contexts (the words before and after, which copies of a document repeat), and in
+hardly any clean one. The support is a number, not a share of the toxic documents: a share of all of
+them would leave out the words of every language but the most frequent one. The tokens of telling
+words in toxic documents are T. The
+field learns weights of features (the word, its beginning and ending, the words before and after),
+of which it knows those that stand at least twice with a T, and of the four transitions. Every iteration of
 the gradient ascent is one Spark job that sums the gradients of the partitions. Learning uses at
 most ``MAX_TRAIN`` documents of each label, those with the smallest hash, so that their ids can be
 broadcast; contexts are counted over the same documents.
 
 Every document is then scored whole: forward and backward recursions give each token's
 probability of T. What a probability exceeds ``FLOOR`` by counts, so that thousands of nearly
-certain O do not add up; a document's score is the probability that at least one token is T, taken
-over the tokens as if independent. Tokens above one half are its spans, in characters.
+certain O do not add up; a document's evidence is minus the log of the probability that no token
+is T, taken over the tokens as if independent. The cut between the evidence of toxic and clean
+documents is the one with the fewest errors on the training documents, because a word that is rare
+in clean documents says little alone and much beside others. The score is one half at the cut.
+Tokens above one half are a document's spans, in characters.
 
 A missing or empty text, or one without a word, has score 0 and no spans. Without toxic training
 documents all scores are 0. Repeated rows are scored alike; a missing id is never held out.
@@ -23,7 +28,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -38,14 +43,15 @@ from sessionlab.llm.common import hash_sample, stored
 MAX_TRAIN = 3000
 BITS = 18
 FEATURES = 1 << BITS
-KINDS = 4
+KINDS = 5
 ITERATIONS = 12
 STEP = 1.0
 DECAY = 0.01
-MIN_SHARE = 0.05  # of the toxic training documents: documents and contexts of a telling word
-MIN_TIMES = 5
+MIN_TIMES = 5  # toxic training documents and contexts of a telling word
 MIN_RATIO = 20.0
 FLOOR = 0.05
+STEEPNESS = 4
+BEGINNING = 6  # bytes
 CHUNK = 1 << 20
 
 SALTS = hashing.numbers(KINDS, 6)
@@ -56,12 +62,14 @@ LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = Tr
 @dataclass(frozen=True)
 class Field:
     """Known features by hash, their weights for tag T against O (one more for all unknown ones,
-    which stays 0), a bias, and log transitions OO, OT, TO, TT."""
+    which stays 0), a bias, log transitions OO, OT, TO, TT, and the evidence that makes a document
+    toxic."""
 
     known: np.ndarray
     weights: np.ndarray
     bias: float
     moves: np.ndarray
+    cut: float = np.log(2)
 
 
 @dataclass(frozen=True)
@@ -85,13 +93,17 @@ def tokens_of(texts: list[bytes]) -> Tokens:
     for back in (1, 2, 3):
         value = hashing.BYTE[data[np.maximum(ends - back, 0)]]
         ending = np.where(ends - back >= starts, hashing.pair(ending, value), ending)
+    beginning = np.zeros(len(starts), np.uint64)
+    for ahead in range(BEGINNING):
+        value = hashing.BYTE[data[np.minimum(starts + ahead, len(data) - 1)]]
+        beginning = np.where(starts + ahead < ends, hashing.pair(beginning, value), beginning)
     before, after = np.zeros_like(names), np.zeros_like(names)
     if len(names):
         same = owner[1:] == owner[:-1]
         before[1:] = np.where(same, names[:-1], 0)
         after[:-1] = np.where(same, names[1:], 0)
     features = np.stack(
-        [hashing.pair(values, salt) for values, salt in zip((names, ending, before, after), SALTS)]
+        [hashing.pair(values, salt) for values, salt in zip((names, ending, before, after, beginning), SALTS)]
     )
     return Tokens(owner, starts, ends, names, features, np.bincount(owner, minlength=len(texts)))
 
@@ -141,12 +153,19 @@ def marginals(tokens: Tokens, field: Field) -> tuple[np.ndarray, np.ndarray]:
     return tag, moves
 
 
-def document_scores(texts: list[bytes], field: Field) -> tuple[np.ndarray, Tokens, np.ndarray]:
-    """Scores of texts, their tokens and the tokens' probabilities of T."""
+def _evidence(texts: list[bytes], field: Field) -> tuple[np.ndarray, Tokens, np.ndarray]:
+    """Evidence of texts, their tokens and the tokens' probabilities of T."""
     tokens = tokens_of(texts)
     tag, _ = marginals(tokens, field)
     counted = np.clip((tag - FLOOR) / (1 - FLOOR), 0, 1 - 1e-12)
-    return 1 - np.exp(np.bincount(tokens.owner, np.log1p(-counted), len(texts))), tokens, tag
+    return np.bincount(tokens.owner, -np.log1p(-counted), len(texts)), tokens, tag
+
+
+def document_scores(texts: list[bytes], field: Field) -> tuple[np.ndarray, Tokens, np.ndarray]:
+    """Scores of texts, their tokens and the tokens' probabilities of T."""
+    evidence, tokens, tag = _evidence(texts, field)
+    odds = (evidence / field.cut) ** STEEPNESS
+    return odds / (1 + odds), tokens, tag
 
 
 def _groups(data: list[bytes]) -> Iterator[np.ndarray]:
@@ -194,7 +213,7 @@ def telling_words(train: DataFrame) -> np.ndarray:
                 yield pa.RecordBatch.from_pydict(
                     {
                         "name": pa.array(tokens.names.view(np.int64)),
-                        "context": pa.array(hashing.pair(*tokens.features[2:]).view(np.int64)),
+                        "context": pa.array(hashing.pair(*tokens.features[2:4]).view(np.int64)),
                         "text": pa.array(own[tokens.owner]),
                         "toxic": pa.array(toxic[rows][tokens.owner], pa.int32()),
                     }
@@ -209,7 +228,7 @@ def telling_words(train: DataFrame) -> np.ndarray:
         F.count_distinct(F.when(is_clean, F.col("text"))).alias("clean"),
         F.count_distinct(F.when(is_toxic, F.col("context"))).alias("contexts"),
     )
-    often = counts.filter(F.least("toxic", "contexts") >= max(MIN_TIMES, MIN_SHARE * toxic))
+    often = counts.filter(F.least("toxic", "contexts") >= MIN_TIMES)
     ratio = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("clean") + 0.5) / (clean + 1))
     # Few, because the training documents are: no more than their words.
     names = [r["name"] for r in often.filter(ratio >= MIN_RATIO).select("name").collect()]
@@ -274,7 +293,38 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Fie
         weights = weights + change[: FEATURES + 1]
         bias += change[FEATURES + 1]
         moves = moves + change[FEATURES + 2 :]
-    return Field(known, weights, float(bias), moves)
+    field = Field(known, weights, float(bias), moves)
+    return replace(field, cut=_best_cut(*_train_evidence(train, field)))
+
+
+def _train_evidence(train: DataFrame, field: Field) -> tuple[np.ndarray, np.ndarray]:
+    """Evidence and label of the training documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, toxic = batch["data"].to_pylist(), batch["toxic"].to_numpy()
+            for rows in _groups(data):
+                evidence = _evidence([data[i] for i in rows], field)[0]
+                yield pa.RecordBatch.from_pydict(
+                    {"evidence": pa.array(evidence), "toxic": pa.array(toxic[rows], pa.int32())}
+                )
+
+    # Few, as the training documents are.
+    rows = train.mapInArrow(run, "evidence double, toxic int").collect()
+    return np.array([r["evidence"] for r in rows]), np.array([r["toxic"] for r in rows])
+
+
+def _best_cut(evidence: np.ndarray, toxic: np.ndarray) -> float:
+    """The evidence with the fewest toxic documents below it and clean ones from it on: the middle
+    of the gap, and of several the lowest."""
+    order = np.lexsort((toxic, evidence))
+    values, toxic = evidence[order], toxic[order]
+    errors = np.cumsum(toxic == 1) - np.cumsum(toxic == 0)
+    gaps = np.flatnonzero(values[1:] > values[:-1])
+    if not len(gaps):
+        return float(np.log(2))
+    best = gaps[np.argmin(errors[gaps])]
+    return float((values[best] + values[best + 1]) / 2)
 
 
 def _slope(train: DataFrame, field: Field, telling: np.ndarray) -> np.ndarray:

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sessionlab.llm import bytes_bpe, html_text, language_model, packing, quality, toxicity
@@ -154,6 +155,19 @@ def test_toxic_documents_are_found_and_clean_ones_left_alone(spark):
     assert counts[1, 1] >= 0.5 * (counts[1, 1] + counts.get((1, 0), 0))
 
 
+def test_toxic_documents_are_found_in_every_language(spark):
+    folder = "/root/testdata/sf0.1"
+    got = QUERIES["op7_toxicity"](spark, folder).filter("held_out")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").filter("toxic = 1")
+    langs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang").distinct()
+    found = {
+        r.lang: r.share
+        for r in got.join(labels, "doc_id").join(langs, "doc_id").groupBy("lang")
+        .agg(F.avg("predicted").alias("share")).collect()
+    }
+    assert set(found) == {"de", "en", "es", "fr"} and min(found.values()) >= 0.75
+
+
 def test_spans_are_the_offending_words(spark, frame):
     rows = [(i, f"Ünder{i} the calm word{i % 7} stands here") for i in range(150)]
     rows += [(i, f"Ünder{i} the horrid, word{i % 7} stands here") for i in range(150, 300)]
