@@ -2,24 +2,24 @@
 
 Two documents are linked when the Jaccard similarity of their sets of five-word shingles is at
 least 0.8. The result is a class id per document (the classes are the connected parts of the link
-graph) and the links that were checked for it.
+graph) and the number of its links.
 
 1. Documents with equal shingle sets are one node; copies are never compared with each other.
 2. Every node has ``HASHES`` MinHash values in bands of four; nodes that share a band are
    candidates. Two nodes at the threshold share none with probability 3e-6.
-3. In each band bucket all nodes are compared with its least node: as many pairs as nodes.
-4. A pair's MinHash values are compared 16 at a time. With m matches among n values the posterior
+3. The nodes of all buckets with one least node, the centre, are a family. Candidates share a
+   family; of several, the one whose centre has the least hash owns the pair.
+4. All nodes of a family are compared with each other, in blocks of ``BLOCK`` nodes against blocks,
+   first on their MinHash values, 16 at a time. With m matches among n values the posterior
    probability (uniform prior) that the similarity reaches the threshold is that of at most m
-   successes in n + 1 trials; the pair is dropped when this falls below ``TOLERANCE``.
-5. The pairs that are left are checked on their whole shingle sets, and linked nodes are joined.
-6. Nodes that met one centre and are still in different classes are compared with each other, in
-   blocks of ``BLOCK`` nodes against blocks: first their MinHash values, which leaves the nodes
-   that have a likely partner in another class, then those with their shingle sets in the task, so
-   that pairs are pruned and checked where they meet. A task returns only links that join classes
-   it has not joined yet. So no link between two classes is lost, and neither likely pairs nor the
-   redundant links inside a class are listed.
-
-Large buckets, hubs and classes never meet in one task: counts combine before the shuffle, groups
+   successes in n + 1 trials; the pair is dropped when this falls below ``TOLERANCE``. The nodes
+   that have a likely partner go on.
+5. These are compared in blocks with their shingle sets in the task, so that pairs are pruned and
+   checked where they meet: every likely pair in the family that owns it. A task returns how many
+   links each node has, and only those links that join nodes it has not joined yet. So every link
+   is counted, and the classes are whole, but pairs are never listed.
+
+Large buckets, families and classes never meet in one task: counts combine before the shuffle, groups
 above a fixed share of all rows are broadcast, and blocks bound what a task compares.
 
 Words are runs of anything but ASCII white space, with A-Z as a-z. A text of one to four words has
@@ -48,7 +48,6 @@ HASHES = BANDS * ROWS
 STEP = 16
 TOLERANCE = 1e-4
 BLOCK = 256
-COPIES_PER = 1000
 CHUNK = 1 << 20  # bytes of text that are hashed at a time
 
 FLIP, TURN = hashing.numbers(HASHES, 3), hashing.numbers(HASHES, 4)
@@ -160,38 +159,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 NODE = "struct<doc_id:bigint,version:bigint>"
-PAIR = f"a {NODE}, b {NODE}"
-
-
-def _survivors(pairs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b, a_signature, b_signature) that the pruning leaves."""
-    limits = least_matches(threshold)
-
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        if batch.num_rows:
-            stay = prune(_matrix(batch["a_signature"]), _matrix(batch["b_signature"]), limits)
-            yield batch.select(["a", "b"]).take(pa.array(stay))
-
-    return pairs.mapInArrow(_over(run), PAIR)
-
-
-def _numbered(pairs: DataFrame, name: str) -> DataFrame:
-    """The pairs with ``a_copy`` and ``b_copy``: a hub's pairs are dealt to several copies of the
-    hub, one for every ``COPIES_PER`` of them."""
-    for side in ("a", "b"):
-        degrees = stored(pairs.groupBy(side).agg(F.count("*").alias("degree")), f"{name}_{side}_degrees")
-        copies = F.floor(F.col("degree") / COPIES_PER).cast("int") + 1
-        copy = F.pmod(F.xxhash64("a", "b"), copies).cast("int").alias(f"{side}_copy")
-        pairs = stored(meet(pairs, degrees, [side], "degree").select(*pairs.columns, copy), f"{name}_{side}")
-    return pairs
-
-
-def _with_node(pairs: DataFrame, side: str, nodes: DataFrame, value: str) -> DataFrame:
-    """Add ``value`` of the node in column ``side``, as ``<side>_<value>``."""
-    used = pairs.select(F.col(side).alias("node"), F.col(f"{side}_copy").alias("copy")).distinct()
-    spread = nodes.join(used, "node").select("node", "copy", F.col(value).alias(f"{side}_{value}"))
-    met = (pairs[side] == spread["node"]) & (pairs[f"{side}_copy"] == spread["copy"])
-    return pairs.join(spread.hint("merge"), met).drop("node", "copy")
+# How many links ``a`` has among the compared nodes; or, with ``b``, a link that joins two nodes.
+FOUND = f"a {NODE}, b {NODE}, n long"
 
 
 def _linked(left: np.ndarray, right: np.ndarray, threshold: float) -> bool:
@@ -204,28 +173,6 @@ def _linked(left: np.ndarray, right: np.ndarray, threshold: float) -> bool:
     return common >= threshold * (len(left) + len(right) - common)
 
 
-def _similar(pairs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b, a_names, b_names) whose shingle sets are similar enough."""
-
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        both = zip(batch["a_names"].to_pylist(), batch["b_names"].to_pylist())
-        sets = ((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in both)
-        stay = [i for i, (a, b) in enumerate(sets) if _linked(a, b, threshold)]
-        yield batch.select(["a", "b"]).take(pa.array(stay, pa.int64()))
-
-    return pairs.mapInArrow(_over(run), PAIR)
-
-
-def _star_links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The linked ones of the pairs (centre, node)."""
-    numbered = _numbered(pairs, "stars")
-    left = _with_node(numbered, "a", nodes, "signature")
-    likely = _survivors(_with_node(left, "b", nodes, "signature"), threshold)
-    survivors = _numbered(stored(likely, "survivors"), "survivors")
-    with_left = _with_node(survivors, "a", sets, "names")
-    return stored(_similar(_with_node(with_left, "b", sets, "names"), threshold), "star_links")
-
-
 def _in_blocks(members: DataFrame, function, schema: str) -> DataFrame:
     """``function(left rows, right rows, whether they are the same block)`` for every pair of
     blocks of every family.
@@ -282,68 +229,76 @@ def _in_blocks(members: DataFrame, function, schema: str) -> DataFrame:
     return ordered.mapInArrow(run, schema)
 
 
-def _numbers_of(column: pa.Array) -> np.ndarray:
-    """The nodes of a column as small numbers."""
-    ids, versions = (np.unique(p.fill_null(-1).to_numpy(), return_inverse=True)[1] for p in column.flatten())
-    return ids * (versions.max() + 1) + versions
+def _lesser_centers(group: pa.RecordBatch) -> list[frozenset]:
+    """For every node, its centres with a lesser hash than the family's. Of a pair that has one in
+    common another family is the owner."""
+    both = zip(group["centers"].to_pylist(), group["center_hash"].to_pylist())
+    return [frozenset(c for c in centers if c < own) for centers, own in both]
+
+
+def _likely_partners(group, left, right, same, limits) -> Iterator[tuple[int, np.ndarray]]:
+    """(node, its likely partners) for the pairs that this family owns."""
+    signatures, lesser = _matrix(group["signature"]), _lesser_centers(group)
+    for i in left:
+        others = right[right > i] if same else right
+        if len(others):
+            stay = prune(np.broadcast_to(signatures[i], (len(others), HASHES)), signatures[others], limits)
+            owned = [j for j in others[stay] if lesser[i].isdisjoint(lesser[j])]
+            if owned:
+                yield i, np.array(owned)
 
 
 def _likely_members(members: DataFrame, threshold: float) -> DataFrame:
-    """(center, node) of the nodes with a likely partner of another class among the members."""
+    """(center, node) of the nodes with a likely partner in a pair that the family owns."""
     limits = least_matches(threshold)
 
     def compare(group, left, right, same) -> Iterator[pa.RecordBatch]:
-        signatures, classes = _matrix(group["signature"]), _numbers_of(group["class_id"])
         likely = np.zeros(group.num_rows, bool)
-        for i in left:
-            others = right[classes[right] != classes[i]]
-            others = others[others > i] if same else others
-            if len(others):
-                stay = prune(
-                    np.broadcast_to(signatures[i], (len(others), HASHES)), signatures[others], limits
-                )
-                likely[others[stay]] = True
-                likely[i] |= len(stay) > 0
+        for i, partners in _likely_partners(group, left, right, same, limits):
+            likely[partners] = True
+            likely[i] = True
         rows = pa.array(np.flatnonzero(likely))
         yield pa.RecordBatch.from_arrays([group[c].take(rows) for c in ("center", "node")], ["center", "node"])
 
     return _in_blocks(members, compare, f"center {NODE}, node {NODE}").distinct()
 
 
-def _joining_links(members: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) that join the classes of the members of a family, checked on their sets."""
+def _checked_links(members: DataFrame, threshold: float) -> DataFrame:
+    """The links of the pairs that a family owns, checked on their sets: their number per node, and
+    those that join nodes of a pair of blocks."""
     limits = least_matches(threshold)
 
     def compare(group, left, right, same) -> Iterator[pa.RecordBatch]:
-        signatures, classes = _matrix(group["signature"]), _numbers_of(group["class_id"])
         sets = [np.frombuffer(names, np.uint64) for names in group["names"].to_pylist()]
-        joined = {c: c for c in classes.tolist()}
+        joined = list(range(group.num_rows))
 
-        def root(c: int) -> int:
-            while joined[c] != c:
-                joined[c] = joined[joined[c]]
-                c = joined[c]
-            return c
+        def root(i: int) -> int:
+            while joined[i] != i:
+                joined[i] = joined[joined[i]]
+                i = joined[i]
+            return i
 
+        counts = np.zeros(group.num_rows, np.int64)
         links = []
-        for i in left:
-            others = right[classes[right] != classes[i]]
-            others = others[others > i] if same else others
-            if not len(others):
-                continue
-            stay = prune(
-                np.broadcast_to(signatures[i], (len(others), HASHES)), signatures[others], limits
-            )
-            for j in others[stay]:
-                a, b = root(classes[i]), root(classes[j])
-                if a != b and _linked(sets[i], sets[j], threshold):
-                    joined[a] = b
-                    links.append((i, j))
+        for i, partners in _likely_partners(group, left, right, same, limits):
+            for j in partners:
+                if _linked(sets[i], sets[j], threshold):
+                    counts[[i, j]] += 1
+                    a, b = root(i), root(j)
+                    if a != b:
+                        joined[a] = b
+                        links.append((i, j))
         if links:
-            ends = [group["node"].take(pa.array(side)) for side in zip(*links)]
-            yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+            counted = np.flatnonzero(counts)
+            first = np.append(counted, [i for i, _ in links])
+            second = pa.array([None] * len(counted) + [j for _, j in links], pa.int64())
+            n = np.append(counts[counted], np.zeros(len(links), np.int64))
+            nodes = group["node"]
+            yield pa.RecordBatch.from_arrays(
+                [nodes.take(pa.array(first)), nodes.take(second), pa.array(n)], ["a", "b", "n"]
+            )
 
-    return _in_blocks(members, compare, PAIR)
+    return _in_blocks(members, compare, FOUND)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -375,51 +330,36 @@ def _classes(docs: DataFrame, threshold: float) -> DataFrame:
         "buckets",
     )
     members = stored(meet(banded, buckets, ["bucket"], "bucket_size"), "members")
-    stars = stored(
-        members.filter("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(),
-        "stars",
+    families = stored(
+        members.select("center", "node").distinct().withColumn("center_hash", F.xxhash64("center")), "families"
     )
-    wanted = members.select("node").distinct().select("node.*", "node")
+    sizes = stored(families.groupBy("center").agg(F.count("*").alias("size")), "family_sizes")
+    # At most one centre for every band.
+    centers = families.groupBy("node").agg(F.collect_list("center_hash").alias("centers"))
+    profiles = stored(nodes.select("node", "signature").join(centers, "node"), "profiles")
+    compared = meet(families, sizes, ["center"], "size").join(profiles, "node")
+    likely = stored(_likely_members(compared, threshold), "likely")
+    likely_sizes = stored(likely.groupBy("center").agg(F.count("*").alias("size")), "likely_sizes")
+    wanted = likely.select("node").distinct().select("node.*", "node")
     sets = stored(
-        rows.join(wanted, same_row(rows, wanted))
+        rows.join(wanted.hint("merge"), same_row(rows, wanted))
         .select(rows["doc_id"], rows["version"], "data")
         .mapInArrow(_over(_sets), "doc_id long, version long, names binary")
         .select(F.struct("doc_id", "version").alias("node"), "names")
         .dropDuplicates(["node"]),
         "names",
     )
-    links = _star_links(stars, nodes, sets, threshold)
-    classes = connected_components(links)
-
-    families = stored(members.select("center", "node").distinct(), "families")
-    labelled = stored(
-        families.join(classes, "node", "left").select(
-            "center", "node", F.coalesce("label", "node").alias("class_id")
-        ),
-        "labelled",
-    )
-    mixed = (
-        labelled.groupBy("center")
-        .agg(F.count("*").alias("size"), F.min("class_id").alias("low"), F.max("class_id").alias("high"))
-        .filter("low != high")
-        .select("center", "size")
-    )
-    undecided = stored(meet(labelled, stored(mixed, "mixed"), ["center"], "size"), "undecided")
-    signatures = nodes.select("node", "signature")
-    likely = stored(_likely_members(undecided.join(signatures, "node"), threshold), "likely")
-    sizes = stored(likely.groupBy("center").agg(F.count("*").alias("size")), "likely_sizes")
-    compared = (
-        meet(likely, sizes, ["center"], "size")
-        .join(undecided.select("center", "node", "class_id"), ["center", "node"])
-        .join(signatures, "node")
+    checked = (
+        meet(likely, likely_sizes, ["center"], "size")
+        .withColumn("center_hash", F.xxhash64("center"))
+        .join(profiles, "node")
         .join(sets, "node")
     )
-    more = stored(_joining_links(compared, threshold), "joining_links")
-    all_links = stored(_ordered(links.unionByName(more)), "links")
-    final = connected_components(all_links)
-
-    ends = all_links.select("a").unionByName(all_links.select(F.col("b").alias("a")))
-    counts = ends.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n_links"))
+    found = stored(_checked_links(checked, threshold), "links")
+    final = connected_components(_ordered(found.filter("b IS NOT NULL")))
+    counts = (
+        found.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links"))
+    )
     named = stored(
         groups.join(counts, "node", "left")
         .join(final, "node", "left")
@@ -455,8 +395,8 @@ def _classes(docs: DataFrame, threshold: float) -> DataFrame:
 
 
 def link_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, class_id (the least doc_id of the class), n_links (checked
-    links of the document's shingle set to different sets), class_size and copies (documents with
+    """One row per document: doc_id, class_id (the least doc_id of the class), n_links (links of
+    the document's shingle set to different sets), class_size and copies (documents with
     the same set)."""
     return _classes(docs, threshold).select(
         "doc_id", F.col("class_node.doc_id").alias("class_id"), "n_links", "class_size", "copies"

@@ -115,6 +115,20 @@ def test_near_copies_form_the_classes_of_brute_force(monkeypatch, frame, near_co
     assert collections.Counter((r.doc_id, r.class_id) for r in got) == classes(near_copies)
 
 
+@pytest.mark.parametrize("block", [8, 256])
+def test_every_link_is_counted(monkeypatch, frame, near_copies, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    sets = {(i, t): frozenset(shingles(t)) for i, t in near_copies}
+    different = [own for own in set(sets.values()) if own]
+    want = {
+        row: sum(own != other and len(own & other) >= 0.8 * len(own | other) for other in different)
+        for row, own in sets.items()
+    }
+    got = ngram_join.link_classes(frame(near_copies)).collect()
+    assert {(r.doc_id, r.n_links) for r in got} == {(i, n) for (i, _), n in want.items()}
+    assert max(want.values()) > 10
+
+
 def test_one_near_copy_stays(frame):
     text = " ".join(f"word{i}" for i in range(60))
     docs = frame([(1, text), (2, text + " more"), (3, "else"), (None, None), (4, "")])
