@@ -13,9 +13,8 @@ The model. A text is a walk through ``STATES`` hidden states; a state emits a sy
 token of the head, the end mark, or "tail". A tail symbol stands for its word with probability
 (c + 1) / (tail tokens + tail words + 1), the same in every state, so the probability of a text
 is that of its symbols, computed exactly by the scaled forward recursion, times those of its tail
-words. Baum-Welch starts from a fixed random model, learns on ``WARM_UP`` documents (those with
-the smallest hash) for ``WARM_UP_ROUNDS`` rounds to break the symmetry, then on all training
-documents for ``ROUNDS`` rounds. A round is one Spark job in which every partition adds up its
+words. Baum-Welch starts from a fixed random model, which breaks the symmetry, and learns on all
+training documents for ``ROUNDS`` rounds. A round is one Spark job in which every partition adds up its
 expected counts by symbol and Spark adds up the partitions.
 
 A missing or empty text is the end mark alone. Repeated rows are scored alike and each counts in
@@ -35,13 +34,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlab.llm.chains import SideBySide
-from sessionlab.llm.common import hash_sample, same_row, stored, texts, version
+from sessionlab.llm.common import same_row, stored, texts, version
 
 HEAD = 1 << 14
 STATES = 6
-WARM_UP = 1000
-WARM_UP_ROUNDS = 6
-ROUNDS = 2
+ROUNDS = 8
 SMOOTH = 0.01
 END, TAIL = 0, 1  # symbols; the head follows
 FIRST = 2
@@ -313,10 +310,6 @@ def fit(encoded: DataFrame, head: Head) -> Model:
     counts = np.concatenate([[head.ends, head.tail_tokens], head.counts]).astype(float)
     model = _random_model(len(counts), counts)
     training = encoded.filter(~F.col("held_out"))
-    chosen = hash_sample(training.select("doc_id", "version", "symbols"), ["doc_id", "version"], WARM_UP)
-    warm_up = stored(chosen.select("symbols").repartition(4), "warm_up")
-    for _ in range(WARM_UP_ROUNDS):
-        model = baum_welch_round(warm_up, model)
     for _ in range(ROUNDS):
         model = baum_welch_round(training, model)
     return model

@@ -260,6 +260,19 @@ def test_language_model_scores(monkeypatch, frame):
     assert language_model.score_texts(frame([])).count() == 0
 
 
+def test_every_round_learns_from_all_training_documents(monkeypatch, frame):
+    seen = []
+
+    def record(encoded, model):
+        seen.append(encoded.count())
+        return model
+
+    monkeypatch.setattr(language_model, "baum_welch_round", record)
+    language_model.score_texts(frame([(i, f"word{i % 9} same") for i in range(1500)]))
+    training = sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in range(1500))
+    assert seen == [training] * language_model.ROUNDS
+
+
 PAGE = """<!DOCTYPE html><html><head><title>no</title><style>p{}</style></head><body>
 <header>Site</header><nav><ul><li><a href=/>Home</a><li><a href=/b>More</a></ul></nav>
 <div id="cookie-notice">We use cookies, as all do.</div>
