@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 
 from sessionlab.llm import (
     bytes_bpe,
+    divergence,
     exact_dedup,
     html_text,
     language_model,
     line_dedup,
     ngram_join,
+    oracles,
     packing,
     quality,
     repeats,
     toxicity,
+    vector_codes,
 )
 from sessionlab.llm.common import table
 
@@ -126,3 +129,13 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_html_extraction")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op12_source_divergence", oracles.SOURCE_DIVERGENCE)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op13_vector_codes", oracles.vector_codes())
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
