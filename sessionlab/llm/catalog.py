@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sessionlab.llm import (
     bytes_bpe,
+    chat_windows,
     divergence,
     exact_dedup,
     html_text,
@@ -131,6 +132,19 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+# A conversation whose texts are made of control strings.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query("op11_chat_formatting")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)]
+    every = given.unionByName(spark.createDataFrame(control, "conv_id long, turn long, role string, text string"))
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return chat_windows.digests(*chat_windows.windows(every, vocabulary, public_tokenizers.PATTERN))
+
+
 @query("op12_source_divergence", oracles.SOURCE_DIVERGENCE)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
