@@ -7,7 +7,10 @@ from sessionlab.catalog.oracle import cases, r6, rd
 from sessionlab.catalog.registry import query
 from sessionlab.operators import gaps, ranking
 from sessionlab.operators import sessions as ops
+from sessionlab.operators.ranks import number_in_groups
+from sessionlab.operators.session_store import SessionStore
 from sessionlab.plans import session_reports as reports
+from sessionlab.sources.user_buckets import UserBuckets
 
 SESSION_COLUMNS = """userId, userSessionId, trackCount, sessionStart, sessionEnd,
     CAST(durationMinutes AS DOUBLE) AS durationMinutes"""
@@ -19,6 +22,50 @@ def _(t):
     return t.sessions(ops.DEFAULT_GAP_MINUTES).select(*COLUMNS)
 
 
+def _in_batches(t):
+    """The plays in three batches: one half of every month, the other, and a tenth that comes late."""
+    store = SessionStore(t.spark, t.scratch("session_store"), GAP)
+    late = F.pmod(F.xxhash64("userId", "timestamp", "trackKey"), F.lit(10)) == 0
+    number = F.when(late, 2).when(F.dayofmonth("timestamp") > 15, 1).otherwise(0)
+    plays = t.silver.withColumn("number", number)
+    for batch in range(3):
+        store.add(plays.filter(F.col("number") == batch), batch)
+    return store
+
+
+@query("sessions_in_batches", f"SELECT {SESSION_COLUMNS} FROM sessions")
+def _(t):
+    return _in_batches(t).sessions().select(*COLUMNS)
+
+
+@query(
+    "session_edges",
+    """SELECT userId, sessionNumber, trackCount, sessionStart, sessionEnd FROM sessions
+       QUALIFY row_number() OVER (PARTITION BY userId ORDER BY sessionNumber DESC) = 1""",
+)
+def _(t):
+    edges = _in_batches(t).edges()
+    return edges.select("userId", "sessionNumber", "trackCount", "sessionStart", "sessionEnd")
+
+
+@query("sessions_in_place", f"SELECT {SESSION_COLUMNS} FROM sessions")
+def _(t):
+    # Some users of these tables count as heavy.
+    stored = UserBuckets(t.spark, t.scratch("by_user"), 8, heavy_plays=85, gap_minutes=GAP)
+    return stored.write(t.silver).sessions().select(*COLUMNS)
+
+
+@query(
+    "rank_sessions_of_user",
+    """SELECT userId, userSessionId, trackCount,
+              row_number() OVER (PARTITION BY userId ORDER BY trackCount DESC, sessionNumber) AS rank
+       FROM sessions""",
+)
+def _(t):
+    ranked = number_in_groups(t.sessions(), ["userId"], [F.desc("trackCount"), F.asc("sessionNumber")])
+    return ranked.select("userId", "userSessionId", "trackCount", "rank")
+
+
 @query("session_aggregate", f"SELECT {SESSION_COLUMNS}, uniqueTracks FROM sessions")
 def _(t):
     return t.track_sessions.select(*COLUMNS, "uniqueTracks")

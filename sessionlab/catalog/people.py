@@ -6,6 +6,7 @@ from sessionlab.catalog.inputs import PLAY_RULES, RETENTION_RULES
 from sessionlab.catalog.oracle import big, cases, r6, rd
 from sessionlab.catalog.registry import query
 from sessionlab.operators.layout import hash_sample
+from sessionlab.operators.ranks import number_rows
 from sessionlab.operators.sessions import top_sessions
 from sessionlab.plans import profiles, users
 
@@ -17,6 +18,16 @@ def _(t):
     return t.activity
 
 
+@query(
+    "rank_all_users",
+    """SELECT userId, totalPlays, row_number() OVER (ORDER BY totalPlays DESC, userId) AS rank
+       FROM activity""",
+)
+def _(t):
+    ranked = number_rows(t.activity, [F.desc("totalPlays"), F.asc("userId")])
+    return ranked.select("userId", "totalPlays", "rank")
+
+
 @query(
     "user_activity_dist",
     f"""SELECT count(*) AS totalUsers, {r6('avg(totalPlays)')} AS avgPlays,

@@ -27,12 +27,17 @@ def _cell(column: Column | str, gap_minutes: int) -> Column:
     return F.floor(seconds(column) / (gap_minutes * 60))
 
 
-def activity_cells(plays: DataFrame, gap_minutes: int = DEFAULT_GAP_MINUTES) -> DataFrame:
-    """One row per user and occupied cell."""
+def activity_cells(
+    plays: DataFrame, gap_minutes: int = DEFAULT_GAP_MINUTES, layout: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per user and occupied cell.
+
+    ``layout`` names further columns that a cell determines. Where the plays are stored in buckets
+    of the user and these columns, the cells are counted in place."""
     return (
         plays.withColumn("cell", _cell("timestamp", gap_minutes))
         .filter(F.col("userId").isNotNull() & F.col("cell").isNotNull())
-        .groupBy("userId", "cell")
+        .groupBy("userId", *layout, "cell")
         .agg(
             F.count("*").alias("plays"),
             F.min("timestamp").alias("firstPlay"),
@@ -57,7 +62,8 @@ def _session_id() -> Column:
     return F.concat_ws("_", "userId", F.col("sessionNumber").cast("string"))
 
 
-def _describe(sessions: DataFrame) -> DataFrame:
+def describe(sessions: DataFrame) -> DataFrame:
+    """Add userSessionId and the durations."""
     return sessions.withColumns(
         {
             "userSessionId": _session_id(),
@@ -72,13 +78,40 @@ def sessionize(plays: DataFrame, gap_minutes: int = DEFAULT_GAP_MINUTES) -> Data
 
     A gap of exactly ``gap_minutes`` stays in the session; seconds are compared as whole numbers.
     """
-    cells = number_cells(activity_cells(plays, gap_minutes), gap_minutes)
-    sessions = cells.groupBy("userId", "sessionNumber").agg(
+    return sessions_of_cells(activity_cells(plays, gap_minutes), gap_minutes)
+
+
+def sessions_of_cells(cells: DataFrame, gap_minutes: int = DEFAULT_GAP_MINUTES) -> DataFrame:
+    sessions = number_cells(cells, gap_minutes).groupBy("userId", "sessionNumber").agg(
         F.sum("plays").alias("trackCount"),
         F.min("firstPlay").alias("sessionStart"),
         F.max("lastPlay").alias("sessionEnd"),
     )
-    return _describe(sessions.filter(F.col("trackCount") > 0))
+    return describe(sessions.filter(F.col("trackCount") > 0))
+
+
+def merge_sessions(parts: DataFrame, gap_minutes: int = DEFAULT_GAP_MINUTES) -> DataFrame:
+    """userId, sessionNumber, trackCount, sessionStart, sessionEnd from sessions of parts of the
+    plays, which may overlap or lie within the allowed gap of each other.
+
+    A session is an interval without a longer gap, so the sessions of all plays are the unions of
+    intervals that touch: the result is that of one run over all plays.
+    """
+    before = Window.partitionBy("userId").orderBy("sessionStart", "sessionEnd")
+    earlier = before.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = before.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    opens = seconds_between("reach", "sessionStart") > gap_minutes * 60
+    return (
+        parts.withColumn("reach", F.max("sessionEnd").over(earlier))
+        .withColumn("opensSession", F.when(opens, 1).otherwise(0))
+        .withColumn("sessionNumber", F.sum("opensSession").over(so_far))
+        .groupBy("userId", "sessionNumber")
+        .agg(
+            F.sum("trackCount").alias("trackCount"),
+            F.min("sessionStart").alias("sessionStart"),
+            F.max("sessionEnd").alias("sessionEnd"),
+        )
+    )
 
 
 def assign_sessions(plays: DataFrame, gap_minutes: int = DEFAULT_GAP_MINUTES) -> DataFrame:
@@ -104,7 +137,7 @@ def sessionize_with_tracks(plays: DataFrame, gap_minutes: int = DEFAULT_GAP_MINU
             F.max("timestamp").alias("sessionEnd"),
         )
     )
-    return _describe(sessions)
+    return describe(sessions)
 
 
 def plays_of(plays: DataFrame, sessions: DataFrame, gap_minutes: int = DEFAULT_GAP_MINUTES) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlab.functions.numbers import mean
+from sessionlab.operators.ranks import number_rows
 
 
 def top_session_stats(top: DataFrame) -> DataFrame:
@@ -47,12 +48,9 @@ def artist_diversity(ranked: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def recheck_ranks(ranked: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Add the rank by ``order`` and its difference to the stored one.
-
-    For ranked lists, which are short: numbering all rows takes one task.
-    """
-    window = Window.partitionBy(F.lit(1)).orderBy(*order)
-    return ranked.withColumn("calculatedRank", F.row_number().over(window)).withColumn(
+    """Add the rank by ``order`` and its difference to the stored one. The list may have any
+    length: it is numbered in ranges."""
+    return number_rows(ranked, order, "calculatedRank").withColumn(
         "rankDifference", F.col("rank") - F.col("calculatedRank")
     )
 
