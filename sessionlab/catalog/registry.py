@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sessionlab.catalog.inputs import Inputs
 from sessionlab.catalog.oracle import with_tables
 
-AREAS = ("storage", "rows", "relational", "listening", "time_of_play", "people", "content", "checks")
+AREAS = ("storage", "rows", "relational", "listening", "time_of_play", "people", "content", "checks", "rollups")
 
 
 @dataclass(frozen=True)
