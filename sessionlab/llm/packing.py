@@ -16,6 +16,7 @@ Repeated rows are packed as often as they occur.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -34,38 +35,40 @@ from sessionlab.llm.common import stored
 
 CAPACITY = 4096
 END_ID = 1
-MEMO = 200_000
+MEMO = 150_000  # words in each of two generations
+LONGEST_KEPT = 64  # bytes of a word that is kept
 ROWS_AT_A_TIME = 500
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLAN = "length long, first_rank long, items long, first_bin long, per_bin long, first_offset long"
 
 
 class WordCodec:
-    """Ids of a text as little-endian unsigned 32-bit numbers.
+    """Ids of a text as little-endian unsigned 32-bit numbers, those of the whole tokenizer.
 
     The vocabulary's normaliser and splitter never look across white space, so a text is encoded
-    word by word and known words are looked up. Words of Latin letters are split here and go to the
-    BPE model directly; all others go through the whole tokenizer.
+    word by word and known words are looked up; a stop or comma behind a letter is a word of its own.
+    Words of Latin letters are split here and go to the BPE model directly; all others, and texts
+    that hold a special token, go through the tokenizer.
+
+    Known words are kept in two generations. When the young one is full it becomes the old one, and
+    words that are met again come back from there, so frequent words are never encoded twice.
     """
 
+    stops = re.compile(rb"(?<=[a-z])[.,](?=\s|\Z)")
     plain = regex.compile(r"[\x21-\x7e¡-įı-ɏ]*")
     matches = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+")
 
     def __init__(self, vocabulary: str) -> None:
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.characters = {b: c for b, c in enumerate(byte_characters())}
         self.words: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _encode_word(self, word: bytes) -> bytes:
-        core = word.rstrip(b".,")
-        if core.isalpha():  # bytes: ASCII letters only
-            end = word[len(core) :]
-            ids = self.words.get(core) if end else None
-            return (ids or self._pack(self.model.tokenize(core.decode()))) + (
-                self._encode_other(end) if end else b""
-            )
+        if word.isalpha():  # bytes: ASCII letters only
+            return self._pack(self.model.tokenize(word.decode()))
         return self._encode_other(word)
 
     @staticmethod
@@ -86,13 +89,27 @@ class WordCodec:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _find(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of these words that are too long to be kept; all others are known afterwards."""
+        long = {}
+        for word in words:
+            ids = self.old.get(word)
+            if ids is None:
+                ids = self._encode_word(word)
+            (self.words if len(word) <= LONGEST_KEPT else long)[word] = ids
+        return long
+
     def encode(self, text: str) -> bytes:
-        words = text.encode().lower().split()
+        if any(mark in text for mark in self.specials):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        words = self.stops.sub(lambda m: b" " + m.group(), text.encode().lower()).split()
         new = set(words).difference(self.words)
         if len(self.words) + len(new) > MEMO:
-            self.words.clear()
+            self.old, self.words = self.words, {}
             new = set(words)
-        self.words.update((word, self._encode_word(word)) for word in new)
+        long = self._find(new)
+        if long:
+            return b"".join(long[w] if w in long else self.words[w] for w in words)
         return b"".join(map(self.words.__getitem__, words))
 
 

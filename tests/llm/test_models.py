@@ -55,8 +55,8 @@ def test_split_characters_decode():
 
 def test_pieces_equal_the_tokenizer_and_fill_the_sequences(frame):
     tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
     texts = ODD + [f"word{i} " * (i * 7 % 61 + 1) for i in range(200)] + ["many words " * 5000]
+    texts += ["a <|endoftext|> b", "<|startoftext|>.", "<|EndOfText|>", "unbroken" * 9000, "e.g., don't. é, a.,"]
     docs = frame(list(enumerate(texts)) + [(None, "x"), (3, ODD[3])])
     got = packing.pack_documents(docs, WORDS).collect()
     want = collections.Counter()
@@ -79,6 +79,17 @@ def test_pieces_equal_the_tokenizer_and_fill_the_sequences(frame):
     assert packing.pack_documents(docs.limit(0), WORDS).count() == 0
 
 
+def test_common_words_survive_many_rare_ones(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO", 50)
+    codec, calls = packing.WordCodec(WORDS), []
+    encode = codec._encode_word
+    monkeypatch.setattr(codec, "_encode_word", lambda w: calls.append(w) or encode(w))
+    for i in range(200):
+        codec.encode(f"common words return. rare{i}x once{i}y")
+    assert sum(w in (b"common", b"words", b"return") for w in calls) == 3
+    assert len(codec.words) + len(codec.old) <= 110
+
+
 def test_sequences_join_the_ids(frame, spark):
     pieces = packing.stored(packing.cut(frame([(1, "one two"), (2, "three")]), WORDS, with_ids=True), "p")
     packed = packing.pack(pieces)
