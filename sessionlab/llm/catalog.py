@@ -107,7 +107,12 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_suffix_dedup")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+        F.col("kept_text").alias("text"),
     )
 
 

@@ -1,6 +1,6 @@
 """Removal of long repeated byte strings by distributed prefix doubling.
 
-A byte goes when a string of ``THRESHOLD`` bytes that covers it also starts somewhere else. Texts
+A byte goes when a string of ``threshold`` bytes that covers it also starts somewhere else. Texts
 are UTF-8 bytes, matches never cross documents, and strings are judged on the input.
 
 Prefix doubling ranks all suffixes by their first h bytes, then by pairs of ranks at offset h,
@@ -10,12 +10,13 @@ stays below the size of the text:
 * A rank is a name: the 64-bit name of 2h bytes comes from the pair of names of h bytes at offset
   h, so equal strings get equal names in every task without a sort of all suffixes. Spark
   shuffles and sorts names only to tell which occur again.
-* Positions move in groups. Of the 64-byte strings inside a window of ``THRESHOLD`` bytes the one
-  with the least name (the leftmost of equals) is the window's anchor; equal windows have equal
-  anchors at equal distance. All windows with one anchor form one row, one row per 170 bytes.
+* Positions move in groups. Of the short strings (seeds) inside a window of ``threshold`` bytes the
+  one with the least name (the leftmost of equals) is the window's anchor; equal windows have equal
+  anchors at equal distance. All windows with one anchor form one row: at 400 bytes, with seeds of
+  64, one row per 170 bytes; at 200 bytes, with seeds of 32, one per 85.
 
 The rows of one round carry the name of the string that all their windows share (the core, which
-grows 64, 337, 393, 400 bytes) and of the string that the windows cover together. A core that
+grows 64, 337, 393, 400 bytes at a threshold of 400) and of the string that the windows cover together. A core that
 occurs once is unique: its windows repeat nowhere. A covered string that occurs again is settled:
 all its bytes go. Cores whose rows are all settled are done. What is left, the ends of repeated
 stretches, is split (64, 8, 1 windows to a row) and ranked again; of equal settled rows one stays
@@ -45,7 +46,7 @@ from sessionlab.llm.hashing import pair
 from sessionlab.session import scratch_path
 
 THRESHOLD = 400
-SEED = 64  # bytes of an anchor
+SHORTEST = 100  # the least threshold: the first core must be longer than the seed
 ROUNDS = (64, 8, 1)  # windows to a row after the first round
 SEGMENT = 1 << 19  # window starts that a task holds in memory at a time
 PLACE = ["doc_id", "version", "anchor"]
@@ -56,6 +57,14 @@ ROW = "anchor long, lo int, hi int, seed long, block int, core long, covered lon
 PLACE_MASK = np.uint64((1 << 22) - 1)
 
 
+def seed_bytes(threshold: int) -> int:
+    """Bytes of an anchor: the largest power of two up to a sixth of the threshold. Shorter ones
+    repeat by chance and longer ones make more rows."""
+    if threshold < SHORTEST:
+        raise ValueError(f"strings of {threshold} bytes are shorter than {SHORTEST}")
+    return 1 << ((threshold // 6).bit_length() - 1)
+
+
 class Names:
     """Names of the strings of a buffer, by doubling."""
 
@@ -95,12 +104,13 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
 
 
-def _anchors(valid: np.ndarray, names: Names) -> tuple[np.ndarray, ...]:
+def _anchors(valid: np.ndarray, names: Names, threshold: int) -> tuple[np.ndarray, ...]:
     """(anchor, first window, last window) of every run of valid windows with one anchor."""
-    seeds = names.of_length(SEED)
+    seed = seed_bytes(threshold)
+    seeds = names.of_length(seed)
     # Place in the low bits: the leftmost of equal names is the least.
     keys = (seeds & ~PLACE_MASK) | np.arange(len(seeds), dtype=np.uint64)
-    least = _sliding_min(keys, THRESHOLD - SEED + 1)
+    least = _sliding_min(keys, threshold - seed + 1)
     windows = np.flatnonzero(valid[: len(least)])
     anchors = (least[windows] & PLACE_MASK).astype(np.int64)
     opens = np.ones(len(windows), bool)
@@ -126,21 +136,23 @@ def _buffers(rows: list[tuple[int, bytes]], overlap: int) -> Iterator[list[tuple
         yield parts
 
 
-def _first_rows(doc_ids: pa.Array, versions: pa.Array, data: list[bytes]) -> Iterator[pa.RecordBatch]:
-    long_enough = [(i, d) for i, d in enumerate(data) if len(d) >= THRESHOLD]
-    for parts in _buffers(long_enough, THRESHOLD - 1):
+def _first_rows(
+    doc_ids: pa.Array, versions: pa.Array, data: list[bytes], threshold: int
+) -> Iterator[pa.RecordBatch]:
+    long_enough = [(i, d) for i, d in enumerate(data) if len(d) >= threshold]
+    for parts in _buffers(long_enough, threshold - 1):
         sizes = np.array([len(p) for *_, p in parts])
         ends = np.cumsum(sizes)
         starts = ends - sizes
         joined = np.frombuffer(b"".join(p for *_, p in parts), np.uint8)
         # The windows of a long text's next part belong to that part.
-        own = np.minimum(sizes - THRESHOLD + 1, SEGMENT)
+        own = np.minimum(sizes - threshold + 1, SEGMENT)
         edges = np.zeros(len(joined) + 1, np.int8)
         np.add.at(edges, starts[own > 0], 1)
         np.add.at(edges, (starts + own)[own > 0], -1)
         valid = np.cumsum(edges[:-1]) > 0
         names = Names(joined)
-        anchor, first, last = _anchors(valid, names)
+        anchor, first, last = _anchors(valid, names, threshold)
         part = np.searchsorted(ends, first, side="right")
         shift = np.array([at for _, at, _ in parts])[part] - starts[part]
         row = np.array([r for r, *_ in parts])[part]
@@ -151,16 +163,16 @@ def _first_rows(doc_ids: pa.Array, versions: pa.Array, data: list[bytes]) -> Ite
                 "anchor": pa.array(anchor + shift, pa.int64()),
                 "lo": pa.array((anchor - last).astype(np.int32)),
                 "hi": pa.array((anchor - first).astype(np.int32)),
-                "seed": pa.array(names.of_length(SEED)[anchor].view(np.int64)),
+                "seed": pa.array(names.of_length(seed_bytes(threshold))[anchor].view(np.int64)),
                 "block": pa.array(np.zeros(len(anchor), np.int32)),
                 "core": pa.array(np.zeros(len(anchor), np.int64)),
-                "covered": pa.array(names.at(first, last - first + THRESHOLD)),
+                "covered": pa.array(names.at(first, last - first + threshold)),
                 "done": pa.array(np.zeros(len(anchor), bool)),
             }
         )
 
 
-def _split_rows(batch: pa.RecordBatch, windows: int) -> Iterator[pa.RecordBatch]:
+def _split_rows(batch: pa.RecordBatch, windows: int, threshold: int) -> Iterator[pa.RecordBatch]:
     """The rows of a batch of (doc_id, version, data, places) cut into blocks of ``windows``."""
     data = batch["data"].to_pylist()
     bounds = batch["places"].offsets.to_numpy()
@@ -168,7 +180,7 @@ def _split_rows(batch: pa.RecordBatch, windows: int) -> Iterator[pa.RecordBatch]
     anchor, lo, hi, seed, done = (
         flat.field(n).to_numpy(zero_copy_only=False) for n in ("anchor", "lo", "hi", "seed", "done")
     )
-    overlap = 3 * THRESHOLD
+    overlap = 3 * threshold
     for parts in _buffers(list(enumerate(data)), overlap):
         sizes = np.array([len(p) for *_, p in parts])
         starts = np.cumsum(sizes) - sizes
@@ -177,7 +189,7 @@ def _split_rows(batch: pa.RecordBatch, windows: int) -> Iterator[pa.RecordBatch]
             own = np.arange(bounds[row], bounds[row + 1])
             if len(data[row]) > SEGMENT + overlap:  # several parts: the last one that holds it all
                 last_part = (len(data[row]) - overlap - 1) // SEGMENT
-                part = np.minimum(np.maximum(anchor[own] - THRESHOLD, 0) // SEGMENT, last_part)
+                part = np.minimum(np.maximum(anchor[own] - threshold, 0) // SEGMENT, last_part)
                 own = own[part * SEGMENT == at]
             chosen.append(own)
             shifts.append(np.full(len(own), start - at))
@@ -192,7 +204,7 @@ def _split_rows(batch: pa.RecordBatch, windows: int) -> Iterator[pa.RecordBatch]
         low = np.maximum(lo[place], block * windows)
         high = np.minimum(hi[place], block * windows + windows - 1)
         here = anchor[place] + shift[which]
-        core_length = np.full(len(place), THRESHOLD - windows + 1)
+        core_length = np.full(len(place), threshold - windows + 1)
         source = pa.array(row[which])
         yield pa.RecordBatch.from_pydict(
             {
@@ -204,7 +216,7 @@ def _split_rows(batch: pa.RecordBatch, windows: int) -> Iterator[pa.RecordBatch]
                 "seed": pa.array(seed[place], pa.int64()),
                 "block": pa.array(block.astype(np.int32)),
                 "core": pa.array(names.at(here - block * windows, core_length)),
-                "covered": pa.array(names.at(here - high, high - low + THRESHOLD)),
+                "covered": pa.array(names.at(here - high, high - low + threshold)),
                 "done": pa.array(done[place], pa.bool_()),
             }
         )
@@ -213,26 +225,26 @@ def _split_rows(batch: pa.RecordBatch, windows: int) -> Iterator[pa.RecordBatch]
 ROWS = f"doc_id long, version long, {ROW}, done boolean"
 
 
-def first_rows(docs: DataFrame) -> DataFrame:
+def first_rows(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """One row per anchor: its windows lie ``lo`` to ``hi`` bytes before it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data = batch["data"].to_pylist()
-            yield from _first_rows(batch["doc_id"], batch["version"], data)
+            yield from _first_rows(batch["doc_id"], batch["version"], data, threshold)
 
     return docs.select("doc_id", "version", "data").mapInArrow(run, ROWS)
 
 
-def split_rows(joined: DataFrame, windows: int) -> DataFrame:
+def split_rows(joined: DataFrame, windows: int, threshold: int = THRESHOLD) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _split_rows(batch, windows)
+            yield from _split_rows(batch, windows, threshold)
 
     return joined.select("doc_id", "version", "data", "places").mapInArrow(run, ROWS)
 
 
-def settle(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+def settle(rows: DataFrame, name: str, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """One round: (spans that go, rows to split).
 
     ``rows`` is a stored frame.
@@ -254,7 +266,7 @@ def settle(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         "doc_id",
         "version",
         (F.col("anchor") - F.col("hi")).alias("start"),
-        (F.col("anchor") - F.col("lo") + THRESHOLD).alias("end"),
+        (F.col("anchor") - F.col("lo") + threshold).alias("end"),
     )
     is_open = (F.col("copies") == 1) & ~F.col("was_done")
     classes = strings.groupBy(CLASS).agg(
@@ -289,17 +301,18 @@ def _bucketed(docs: DataFrame) -> DataFrame:
     return spark.table(table)
 
 
-def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(texts as in :func:`_bucketed`; spans: doc_id, version, start, end). Spans may overlap."""
     data = _bucketed(docs)
-    gone, left = settle(stored(first_rows(data), "round_0"), "round_0")
+    gone, left = settle(stored(first_rows(data, threshold), "round_0"), "round_0", threshold)
     spans = [gone]
     for number, windows in enumerate(ROUNDS, start=1):
         places = left.groupBy(KEY).agg(
             F.collect_list(F.struct("anchor", "lo", "hi", "seed", "done")).alias("places")
         )
         joined = data.join(places.hint("shuffle_hash"), KEY)
-        gone, left = settle(stored(split_rows(joined, windows), f"round_{number}"), f"round_{number}")
+        rows = stored(split_rows(joined, windows, threshold), f"round_{number}")
+        gone, left = settle(rows, f"round_{number}", threshold)
         spans.append(gone)
     all_spans = spans[0]
     for more in spans[1:]:
@@ -326,10 +339,10 @@ def _cut(data: bytes, spans: list[dict]) -> tuple[int, int, bytes]:
     return removed, runs, b"".join(kept)
 
 
-def cut_texts(docs: DataFrame) -> DataFrame:
+def cut_texts(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per document: ``rest`` (its other columns), n_bytes, n_removed, n_spans, kept (the bytes
     that stay) and kept_text, which has no character that lost some of its bytes."""
-    data, spans = repeated_spans(docs)
+    data, spans = repeated_spans(docs, threshold)
     lists = spans.groupBy(KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     joined = data.join(lists.hint("shuffle_hash"), KEY, "left").select("rest", "data", "spans")
 
@@ -364,15 +377,16 @@ def cut_texts(docs: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept (the bytes that stay)."""
-    cut = cut_texts(docs.select(F.col("doc_id").cast("long"), "text"))
-    return cut.select("rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept")
+def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Per document: doc_id, n_bytes, n_removed, n_spans, kept (the bytes that stay) and kept_text."""
+    cut = cut_texts(docs.select(F.col("doc_id").cast("long"), "text"), threshold)
+    return cut.select("rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_text")
 
 
-def strip_repeats(docs: DataFrame) -> DataFrame:
-    """The documents with what stays of their texts. ``n_chars``, where there is one, follows."""
+def strip_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """The documents with what stays of their texts when every string of ``threshold`` bytes that
+    also starts elsewhere goes. ``n_chars``, where there is one, follows."""
     columns = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
-    return cut_texts(docs).select(
+    return cut_texts(docs, threshold).select(
         *[columns.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns]
     )

@@ -144,9 +144,8 @@ def test_pruning_drops_only_unlikely_pairs():
     assert all(0.4 * n < limits[n] < 0.75 * n for n in limits)
 
 
-def cut_by_brute_force(rows):
+def cut_by_brute_force(rows, size):
     data = [(i, (t or "").encode()) for i, t in rows]
-    size = repeats.THRESHOLD
     seen = collections.Counter(d[k : k + size] for _, d in data for k in range(len(d) - size + 1))
     out = []
     for i, d in data:
@@ -160,13 +159,19 @@ def cut_by_brute_force(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("segment", [1 << 20, 1 << 11])
-def test_repeats_equal_brute_force(monkeypatch, frame, passages, segment):
+@pytest.mark.parametrize("segment, size", [(1 << 20, 400), (1 << 11, 400), (1 << 20, 240), (1 << 11, 200), (1 << 20, 100)])
+def test_repeats_equal_brute_force(monkeypatch, frame, passages, segment, size):
     monkeypatch.setattr(repeats, "SEGMENT", segment)
-    got = repeats.remove_repeats(frame(passages)).collect()
+    got = repeats.remove_repeats(frame(passages), size).collect()
     assert sorted(
         (r.doc_id or -1, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got
-    ) == cut_by_brute_force(passages)
+    ) == cut_by_brute_force(passages, size)
+
+
+def test_too_short_strings_are_refused(frame):
+    with pytest.raises(ValueError, match="shorter"):
+        repeats.seed_bytes(64)
+    assert [repeats.seed_bytes(n) for n in (100, 200, 240, 400)] == [16, 32, 32, 64]
 
 
 def test_stripped_documents_keep_their_columns(frame):
