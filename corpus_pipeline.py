@@ -13,6 +13,12 @@ from sessionlab.llm import exact_dedup, ngram_join, packing, repeats, toxicity
 from sessionlab.llm.common import stored, table
 
 
+# A passage of more than 50 words has 51 words and 50 blanks at least: 203 bytes with words of three
+# letters on average, and words of running text are longer. A shorter length would also cut set
+# phrases, a longer one would miss passages of short words.
+PASSAGE_BYTES = 200
+
+
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted to be toxic. The field is learnt from ``labels``."""
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
@@ -29,8 +35,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the byte strings that stand elsewhere too."""
-    return repeats.strip_repeats(docs)
+    """Documents without the passages of ``PASSAGE_BYTES`` that stand elsewhere too."""
+    return repeats.strip_repeats(docs, PASSAGE_BYTES)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
