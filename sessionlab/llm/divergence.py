@@ -46,7 +46,7 @@ MIN_DOCS = 3
 FIRST_PREFIX = 4
 TOP_TERMS = 200
 ONE = 1_000_000_000
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 END = b" "
 
 # A-Z to a-z; every other byte that is no part of a term to a blank.
@@ -54,11 +54,19 @@ FOLD = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
 )
 
+HEAD = 8  # leading bytes of a term that are also kept as one number
+# A term is known by its first block and its place there. A block's number is its task's number
+# times BLOCKS plus its own.
+BLOCKS, PLACES = 1 << 14, 1 << 25
+
 BLOCK = (
-    "block long, langs array<string>, lang_ends array<int>, terms binary, "
+    "block long, langs array<string>, lang_ends array<int>, terms binary, heads binary, "
     "groups array<struct<lang:string,source:string>>, doc_group binary, doc_ends binary, "
     "places binary, counts binary"
 )
+BLOCK_COLUMNS = [
+    "block", "langs", "lang_ends", "terms", "heads", "groups", "doc_group", "doc_ends", "places", "counts",
+]
 PREFIXES = "block long, lang string, prefix binary, lo int, hi int, docs long"
 
 
@@ -86,8 +94,8 @@ class BlockBuilder:
             if term not in own:
                 own[term] = self.used
                 self.used += 1
-        self.places.append(np.fromiter(map(own.__getitem__, counts), np.int64, len(counts)))
-        self.counts.append(np.fromiter(counts.values(), np.int64, len(counts)))
+        self.places.append(np.fromiter(map(own.__getitem__, counts), np.int32, len(counts)))
+        self.counts.append(np.fromiter(counts.values(), np.int32, len(counts)))
         self.doc_group.append(self.groups.setdefault((lang, source), len(self.groups)))
         self.size += len(data)
 
@@ -99,18 +107,20 @@ class BlockBuilder:
             old += map(self.terms[lang].__getitem__, ordered)
             words += ordered
             ends.append(len(words))
-        rank = np.empty(len(words), np.int64)
+        rank = np.empty(len(words), np.int32)
         rank[old] = np.arange(len(words))
         sizes = np.array([len(p) for p in self.places])
         places = rank[np.concatenate(self.places)]
-        order = np.lexsort((places, np.repeat(np.arange(len(sizes)), sizes)))
+        order = np.argsort(np.repeat(np.arange(len(sizes)), sizes) * (len(words) + 1) + places)
         counts = np.concatenate(self.counts)[order]
+        heads = np.array([w[:HEAD] + END[: HEAD - len(w)] for w in words], f"S{HEAD}")
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()),
                 pa.array([langs], pa.list_(pa.string())),
                 pa.array([ends], pa.list_(pa.int32())),
                 pa.array([END.join(words)], pa.binary()),
+                pa.array([heads.tobytes()], pa.binary()),
                 pa.array(
                     [[{"lang": a, "source": b} for a, b in self.groups]],
                     pa.list_(pa.struct([("lang", pa.string()), ("source", pa.string())])),
@@ -118,12 +128,9 @@ class BlockBuilder:
                 pa.array([np.array(self.doc_group, "<i4").tobytes()], pa.binary()),
                 pa.array([np.cumsum(sizes).astype("<i8").tobytes()], pa.binary()),
                 pa.array([places[order].astype("<i4").tobytes()], pa.binary()),
-                pa.array([counts.astype("<i8" if counts.max(initial=0) > 255 else "u1").tobytes()], pa.binary()),
-            ],
-            names=[
-                "block", "langs", "lang_ends", "terms", "groups", "doc_group", "doc_ends", "places",
-                "counts",
+                pa.array([counts.astype("<i4" if counts.max(initial=0) > 255 else "u1").tobytes()], pa.binary()),
             ],
+            names=BLOCK_COLUMNS,
         )
 
 
@@ -132,70 +139,76 @@ class Block:
 
     def __init__(self, row: dict) -> None:
         self.number = row["block"]
-        self.langs, self.lang_ends = row["langs"], row["lang_ends"]
-        self.terms = row["terms"].split(END) if self.lang_ends[-1] else []
+        self.langs, self.lang_ends = row["langs"], np.array(row["lang_ends"])
+        self.text = row["terms"]
+        # Big-endian numbers compare like the bytes.
+        self.heads = np.frombuffer(row["heads"], ">u8").astype(np.uint64)
         self.groups = row["groups"]
         self.doc_group = np.frombuffer(row["doc_group"], "<i4")
         ends = np.frombuffer(row["doc_ends"], "<i8")
         self.places = np.frombuffer(row["places"], "<i4")
         wide = len(row["counts"]) > len(self.places)
-        self.counts = np.frombuffer(row["counts"], "<i8" if wide else "u1")
-        self.doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-
-    def lang_of(self, place: int) -> str:
-        return self.langs[int(np.searchsorted(self.lang_ends, place, side="right"))]
-
-    def prefixes(self, ranges: list[tuple[int, int]], length: int) -> pa.RecordBatch:
-        """The prefixes of the terms in these ranges, with the documents that hold them. No range
-        reaches from one language to the next."""
-        run = np.full(len(self.terms) + 1, -1, np.int64)
-        rows: list[list] = []
-        for lo, hi in ranges:
-            lang, last = self.lang_of(lo), None
-            for place in range(lo, hi):
-                prefix = (self.terms[place] + END)[:length]
-                if prefix != last:
-                    rows.append([lang, prefix, place, place])
-                    last = prefix
-                rows[-1][3] += 1
-                run[place] = len(rows) - 1
+        self.counts = np.frombuffer(row["counts"], "<i4" if wide else "u1")
+        self.doc = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))
+
+    def prefixes(self, lo: np.ndarray, hi: np.ndarray, length: int) -> pa.RecordBatch:
+        """The prefixes of the terms in the ranges [lo, hi), which ascend, with the documents that
+        hold them. No range reaches from one language to the next."""
+        sizes = hi - lo
+        is_first = np.zeros(int(sizes.sum()), bool)
+        is_first[np.cumsum(sizes) - sizes] = True
+        place = np.arange(len(is_first)) + np.repeat(lo - (np.cumsum(sizes) - sizes), sizes)
+        if length <= HEAD:
+            key = self.heads[place] >> np.uint64(8 * (HEAD - length))
+            is_first[1:] |= key[1:] != key[:-1]
+            first = np.flatnonzero(is_first)
+            prefix = (key[first] << np.uint64(8 * (HEAD - length))).astype(">u8").view(f"S{HEAD}").tolist()
+        else:  # few terms are still open
+            terms = self.text.split(END)
+            every = [(terms[p] + END)[:length] for p in place.tolist()]
+            is_first[1:] |= np.array([a != b for a, b in zip(every, every[1:])], bool)
+            first = np.flatnonzero(is_first)
+            prefix = [every[i] for i in first.tolist()]
+        run = np.full(len(self.heads) + 1, -1, np.int32)
+        run[place] = np.cumsum(is_first) - 1
         runs = run[self.places]
         is_open = runs >= 0
         runs, doc = runs[is_open], self.doc[is_open]
         # Places ascend within a document, so a prefix that a document has twice stands side by side.
         new = np.ones(len(runs), bool)
         new[1:] = (runs[1:] != runs[:-1]) | (doc[1:] != doc[:-1])
-        docs = np.bincount(runs[new], minlength=len(rows))
-        lang, prefix, lo, hi = zip(*rows) if rows else ((), (), (), ())
+        starts = place[first]
+        langs = pa.array(self.langs, pa.string())
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([self.number] * len(rows), pa.int64()),
-                pa.array(lang, pa.string()),
+                pa.array(np.full(len(first), self.number)),
+                langs.take(pa.array(np.searchsorted(self.lang_ends, starts, side="right"))),
                 pa.array(prefix, pa.binary()),
-                pa.array(lo, pa.int32()),
-                pa.array(hi, pa.int32()),
-                pa.array(docs[: len(rows)], pa.int64()),
+                pa.array(starts.astype(np.int32)),
+                pa.array((starts + np.diff(first, append=len(place))).astype(np.int32)),
+                pa.array(np.bincount(runs[new], minlength=len(first)).astype(np.int64)),
             ],
             names=["block", "lang", "prefix", "lo", "hi", "docs"],
         )
 
     def group_counts(self, places: np.ndarray, term_ids: np.ndarray) -> pa.RecordBatch:
-        """How often the groups use the terms at these places."""
-        kept = np.full(len(self.terms) + 1, -1, np.int64)
+        """How often the sources use the terms at these places."""
+        sources = sorted({g["source"] for g in self.groups})
+        number = {source: i for i, source in enumerate(sources)}
+        doc_source = np.array([number[g["source"]] for g in self.groups])[self.doc_group]
+        kept = np.full(len(self.heads) + 1, -1, np.int64)
         kept[places] = np.arange(len(places))
         own = kept[self.places]
         used = own >= 0
-        key = self.doc_group[self.doc[used]].astype(np.int64) * len(places) + own[used]
+        key = doc_source[self.doc[used]] * max(len(places), 1) + own[used]
         order = np.argsort(key, kind="stable")
         key, counts = key[order], self.counts[used][order].astype(np.int64)
         first = np.flatnonzero(np.diff(key, prepend=-1))
-        sums = np.add.reduceat(counts, first) if len(first) else counts
-        key = key[first]
-        sources = pa.array([g["source"] for g in self.groups], pa.string())
+        key, sums = key[first], np.add.reduceat(counts, first) if len(first) else counts
         return pa.RecordBatch.from_arrays(
             [
-                sources.take(pa.array(key // len(places) if len(places) else key)),
-                pa.array(term_ids[key % len(places)] if len(places) else key),
+                pa.array(sources, pa.string()).take(pa.array(key // max(len(places), 1))),
+                pa.array(term_ids[key % max(len(places), 1)]),
                 pa.array(sums),
             ],
             names=["source", "term_id", "n"],
@@ -209,7 +222,7 @@ def write_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> str:
     rows = docs.select(empty("lang"), empty("source"), F.encode(empty("text"), "UTF-8").alias("data"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32  # blocks of different tasks differ
+        number = TaskContext.get().partitionId() * BLOCKS
         block = BlockBuilder()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -229,26 +242,33 @@ def write_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> str:
     return name
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple]:
-    """One block at a time, with the values of further columns."""
+def _blocks(batches: Iterator[pa.RecordBatch], *fields: str) -> Iterator[tuple]:
+    """One block at a time, with these fields of the structs in its ``list``, in the order of the
+    first of them."""
     for batch in batches:
         for at in range(batch.num_rows):
-            row = batch.slice(at, 1).to_pylist()[0]
-            yield Block(row), *(row[c] for c in more)
+            block = Block({name: batch[name][at].as_py() for name in BLOCK_COLUMNS})
+            if not fields:
+                yield (block,)
+                continue
+            structs = batch["list"][at].values
+            columns = [structs.field(f).to_numpy(zero_copy_only=False) for f in fields]
+            order = np.argsort(columns[0])
+            yield block, *(c[order] for c in columns)
 
 
 def level(blocks: DataFrame, ranges: DataFrame | None, length: int) -> DataFrame:
-    """(block, lang, prefix, lo, hi, docs) of the prefixes of ``length`` bytes in the open
-    ``ranges`` (block, ranges); at the first level everything is open."""
+    """(block, lang, prefix, lo, hi, docs) of the prefixes of ``length`` bytes in the open ranges
+    (block, list of lo and hi); at the first level everything is open."""
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (block,) in _blocks(batches):
-            starts = [0, *block.lang_ends[:-1]]
-            yield block.prefixes([r for r in zip(starts, block.lang_ends) if r[0] < r[1]], length)
+            lo, hi = np.append(0, block.lang_ends[:-1]), block.lang_ends
+            yield block.prefixes(lo[lo < hi], hi[lo < hi], length)
 
     def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, own in _blocks(batches, "ranges"):
-            yield block.prefixes(sorted((r["lo"], r["hi"]) for r in own), length)
+        for block, lo, hi in _blocks(batches, "lo", "hi"):
+            yield block.prefixes(lo, hi, length)
 
     if ranges is None:
         return blocks.mapInArrow(first, PREFIXES)
@@ -257,55 +277,47 @@ def level(blocks: DataFrame, ranges: DataFrame | None, length: int) -> DataFrame
 
 def kept_terms(blocks: DataFrame, min_docs: int = MIN_DOCS, first: int = FIRST_PREFIX) -> DataFrame:
     """(lang, term, term_id, block, place): the terms in enough documents, once for every block
-    that holds them. A stored frame."""
-    spark = blocks.sparkSession
+    that holds them. Stored frames, one for every level."""
+    same = Window.partitionBy("lang", "prefix")
     found, ranges, length = [], None, first
     while True:
-        parts = stored(level(blocks, ranges, length), f"prefixes_{length}")
-        counted = parts.groupBy("lang", "prefix").agg(F.sum("docs").alias("all_docs"))
-        frequent = counted.filter(F.col("all_docs") >= min_docs).select(
-            "lang",
-            "prefix",
-            (F.substring("prefix", -1, 1) == F.lit(END)).alias("complete"),
-            F.monotonically_increasing_id().alias("term_id"),
+        parts = level(blocks, ranges, length)
+        frequent = (
+            parts.withColumn("all_docs", F.sum("docs").over(same))
+            .withColumn("term_id", F.min(F.col("block") * PLACES + F.col("lo")).over(same))
+            .filter(F.col("all_docs") >= min_docs)
+            .withColumn("complete", F.substring("prefix", -1, 1) == F.lit(END))
+            .select("block", "lang", "prefix", "lo", "hi", "term_id", "complete")
         )
-        # The numbers are fixed when they are stored.
         frequent = stored(frequent, f"frequent_{length}")
-        left = stored(parts.join(frequent, ["lang", "prefix"]).drop("docs"), f"left_{length}")
-        complete = left.filter("complete")
         found.append(
-            complete.select(
+            frequent.filter("complete").select(
                 "lang",
                 F.expr("CAST(substring(prefix, 1, length(prefix) - 1) AS STRING)").alias("term"),
-                F.struct(F.lit(length).alias("level"), "term_id").alias("level_id"),
+                "term_id",
                 "block",
                 F.col("lo").alias("place"),
             )
         )
-        still_open = left.filter("NOT complete")
+        still_open = frequent.filter("NOT complete")
         if still_open.isEmpty():
             break
-        ranges = still_open.groupBy("block").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+        ranges = still_open.groupBy("block").agg(F.collect_list(F.struct("lo", "hi")).alias("list"))
         length *= 2
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
-    # Levels number their terms from 0; the level makes the numbers distinct.
-    levels = len(found)
-    number = F.col("level_id.term_id") * levels + F.log2(F.col("level_id.level") / first).cast("long")
-    return stored(
-        every.select("lang", "term", number.alias("term_id"), "block", "place"), "kept_terms"
-    )
+    return every
 
 
 def count_terms(blocks: DataFrame, kept: DataFrame) -> DataFrame:
-    """(source, term_id, n): how often each source uses the kept terms, where it does."""
-    own = kept.groupBy("block").agg(F.collect_list(F.struct("place", "term_id")).alias("kept"))
+    """(source, term_id, n): how often each source uses the kept terms, where it does. Sources of
+    different languages may have one name; the term tells the language."""
+    own = kept.groupBy("block").agg(F.collect_list(F.struct("place", "term_id")).alias("list"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, terms in _blocks(batches, "kept"):
-            places = np.array([t["place"] for t in terms], np.int64)
-            yield block.group_counts(places, np.array([t["term_id"] for t in terms], np.int64))
+        for block, places, term_ids in _blocks(batches, "place", "term_id"):
+            yield block.group_counts(places, term_ids)
 
     joined = blocks.join(own.hint("shuffle_hash"), "block")
     parts = joined.mapInArrow(run, "source string, term_id long, n long")
@@ -398,37 +410,38 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> Da
     )
     spark.sql(f"DROP TABLE {name}")  # the catalog entry; everything below reads stored frames
 
-    terms = kept.groupBy("term_id").agg(F.first("lang").alias("lang"), F.first("term").alias("item"))
-    terms = stored(terms, "terms")
-    counts = stored(used.join(terms, "term_id"), "named_counts")
-    types = terms.groupBy("lang").agg(F.count("*").alias("types"))
+    # One row per term: that of its first block.
+    terms = kept.filter(F.col("term_id") == F.col("block") * PLACES + F.col("place")).select(
+        "term_id", "lang", F.col("term").alias("item")
+    )
+    users = used.groupBy("term_id").agg(
+        F.collect_list(F.struct("source", "n")).alias("users"), F.sum("n").alias("in_lang")
+    )
+    usage = stored(users.join(terms, "term_id"), "usage")
+    types = usage.groupBy("lang").agg(F.count("*").alias("types"), F.sum("in_lang").alias("lang_tokens"))
+    tokens = usage.select("lang", F.inline("users")).groupBy("lang", "source").agg(F.sum("n").alias("tokens"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    groups = (
-        sources.join(counts.groupBy("lang", "source").agg(F.sum("n").alias("tokens")), ["lang", "source"], "left")
-        .join(types, "lang", "left")
-        .select("lang", "source", zero("tokens"), zero("types"))
+    groups = sources.join(tokens, ["lang", "source"], "left").join(types, "lang", "left").select(
+        "lang", "source", zero("tokens"), zero("types"), zero("lang_tokens")
     )
     no_use = F.when(F.col("types") > 0, weight(F.lit(0).cast("long"), F.col("tokens"), F.col("types")))
     # Without kept terms no weight is needed; 1 keeps the sums at 0.
     groups = stored(groups.withColumn("p0", F.coalesce(no_use, F.lit(1).cast("long"))), "source_totals")
-    totals = groups.groupBy("lang").agg(F.sum("tokens").alias("lang_tokens"))
     weighed = stored(
-        counts.join(groups, ["lang", "source"]).select(
-            "lang", "source", "term_id", "item", "n", weight(F.col("n"), F.col("tokens"), F.col("types")).alias("p"), "types"
+        usage.select("lang", "term_id", "item", "in_lang", F.inline("users"))
+        .join(groups, ["lang", "source"])
+        .select(
+            "lang",
+            "source",
+            "term_id",
+            "item",
+            weight(F.col("n"), F.col("tokens"), F.col("types")).alias("p"),
+            weight(F.col("in_lang"), F.col("lang_tokens"), F.col("types")).alias("q"),
         ),
         "weights",
     )
-    in_lang = (
-        counts.groupBy("lang", "term_id")
-        .agg(F.sum("n").alias("n"))
-        .join(totals, "lang")
-        .join(types, "lang")
-        .select("term_id", weight(F.col("n"), F.col("lang_tokens"), F.col("types")).alias("q"))
-    )
-    top_terms = (
-        weighed.join(in_lang, "term_id")
-        .filter("p > q")
-        .select("lang", "source", "item", divergence(F.col("p"), F.col("q")).alias("value"))
+    top_terms = weighed.filter("p > q").select(
+        "lang", "source", "item", divergence(F.col("p"), F.col("q")).alias("value")
     )
     pairs = source_pairs(weighed.select("lang", "source", "term_id", "p"), groups)
     return _ranked(pairs, "pair").unionByName(_ranked(top_terms, "term", top))

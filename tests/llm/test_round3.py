@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from sessionlab.llm import chat_windows, divergence, oracles, vector_codes
 from sessionlab.llm.catalog import QUERIES
@@ -151,7 +152,8 @@ def test_rare_prefixes_are_discarded(spark):
     blocks = spark.table(divergence.write_blocks(spark.createDataFrame(rows, DOCS).coalesce(1)))
     first = stored(divergence.level(blocks, None, 4), "level")
     assert {bytes(r.prefix): r.docs for r in first.collect()} == {b"comm": 8, b"rare": 8}
-    second = divergence.level(blocks, first.selectExpr("block", "array(struct(lo, hi)) AS ranges"), 8)
+    ranges = first.groupBy("block").agg(F.collect_list(F.struct("lo", "hi")).alias("list"))
+    second = divergence.level(blocks, ranges, 8)
     assert {bytes(r.prefix): r.docs for r in second.collect() if r.docs > 1} == {b"common ": 8}
 
 
