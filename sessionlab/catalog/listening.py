@@ -350,6 +350,24 @@ def _(t):
     return reports.feature_correlations(_features(t))
 
 
+FEATURES = (
+    "avgTracksPerSession", "avgDurationMinutes", "avgDiversityRatio", "avgTracksPerMinute", "sessionCount",
+)
+
+
+@query(
+    "feature_correlation_matrix",
+    " UNION ALL ".join(
+        f"""SELECT '{a}' AS leftFeature, '{b}' AS rightFeature, count(*) AS users,
+                   {r6(f'corr({a}, {b})')} AS correlation FROM user_features"""
+        for i, a in enumerate(FEATURES)
+        for b in FEATURES[i + 1 :]
+    ),
+)
+def _(t):
+    return reports.correlation_matrix(_features(t), FEATURES)
+
+
 @query(
     "behaviour_patterns",
     f"""SELECT {cases([('avgTracksPerMinute > 0.02', 'Fast Listener'),

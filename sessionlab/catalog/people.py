@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from sessionlab.catalog.inputs import PLAY_RULES, RETENTION_RULES
 from sessionlab.catalog.oracle import big, cases, r6, rd
 from sessionlab.catalog.registry import query
-from sessionlab.operators.layout import hash_sample
+from sessionlab.operators.layout import hash_sample, sample_per_user
+from sessionlab.operators.neighbours import near_names, near_points
 from sessionlab.operators.ranks import number_rows
 from sessionlab.operators.sessions import top_sessions
 from sessionlab.plans import profiles, users
@@ -28,6 +29,39 @@ def _(t):
     return ranked.select("userId", "totalPlays", "rank")
 
 
+@query(
+    "similar_users_of_all",
+    """SELECT u.userId, count(r.userId) AS similarUsers,
+              CAST(min(abs(u.avgTracksPerSession - r.avgTracksPerSession)) AS DOUBLE) AS closestTracks
+       FROM typed_users u LEFT JOIN typed_users r
+         ON u.userId <> r.userId AND abs(u.avgTracksPerSession - r.avgTracksPerSession) <= 0.2
+        AND abs(u.totalSessions - r.totalSessions) <= u.totalSessions * 0.1
+       GROUP BY u.userId""",
+)
+def _(t):
+    return near_points(t.typed_users, 0.2, 0.1)
+
+
+@query(
+    "track_name_variants",
+    """SELECT a.trackName AS name, b.trackName AS otherName,
+              CAST(levenshtein(a.trackName, b.trackName) AS INTEGER) AS distance
+       FROM (SELECT DISTINCT trackName FROM id_plays) a JOIN (SELECT DISTINCT trackName FROM id_plays) b
+         ON a.trackName < b.trackName AND levenshtein(a.trackName, b.trackName) <= 1""",
+)
+def _(t):
+    return near_names(t.id_plays, "trackName", 1)
+
+
+@query(
+    "plays_per_user_sample",
+    """SELECT userId, seq FROM (SELECT DISTINCT userId, seq FROM id_plays)
+       QUALIFY row_number() OVER (PARTITION BY userId ORDER BY md5(CAST(seq AS VARCHAR)), seq) <= 5""",
+)
+def _(t):
+    return sample_per_user(t.id_plays.select("userId", "seq").distinct(), 5, "seq")
+
+
 @query(
     "user_activity_dist",
     f"""SELECT count(*) AS totalUsers, {r6('avg(totalPlays)')} AS avgPlays,

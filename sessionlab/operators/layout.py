@@ -8,7 +8,7 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
@@ -135,3 +135,16 @@ def hash_sample(df: DataFrame, fraction: float, *columns: str) -> DataFrame:
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
     bits = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
     return df.filter(bits < int(fraction * 2**32))
+
+
+def sample_per_user(df: DataFrame, size: int, *columns: str, user: str = "userId") -> DataFrame:
+    """The ``size`` rows of every user with the least hash of these columns, or all where there are
+    fewer; the rows do not depend on the partitioning. Rows with equal columns are taken in any
+    order, so the columns should be a key.
+
+    Every task keeps only its ``size`` best rows of a user before the shuffle, so a user with a
+    third of all rows sends ``size`` rows per task.
+    """
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+    order = Window.partitionBy(user).orderBy(F.md5(text), *columns)
+    return df.withColumn("__place", F.row_number().over(order)).filter(F.col("__place") <= size).drop("__place")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -222,6 +224,26 @@ def feature_correlations(users: DataFrame) -> DataFrame:
     )
 
 
+def correlation_matrix(users: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """leftFeature, rightFeature, users and correlation of every pair of columns, from one pass: the
+    co-moments of all pairs are one aggregate, which combines before the shuffle. A pair counts the
+    rows in which both are known; it is NULL where one side does not vary."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+
+    def entry(a: str, b: str) -> Column:
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        left, right = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
+        spread = F.stddev_pop(left) * F.stddev_pop(right)
+        return F.struct(
+            F.lit(a).alias("leftFeature"),
+            F.lit(b).alias("rightFeature"),
+            F.count_if(both).alias("users"),
+            F.try_divide(F.covar_pop(left, right), spread).alias("correlation"),
+        )
+
+    return users.agg(F.array(*[entry(a, b) for a, b in pairs]).alias("matrix")).select(F.inline("matrix"))
+
+
 def with_behaviour(
     users: DataFrame,
     *,

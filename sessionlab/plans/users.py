@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.operators.percentiles import percentiles
 from sessionlab.functions import buckets
 from sessionlab.functions.buckets import Rules
 from sessionlab.functions.numbers import mean, rounded, rounded_avg
+from sessionlab.operators.percentiles import percentile_of_each, percentiles
 
 # Rule limits.
 SIMILAR_TRACKS = 2.0
@@ -220,25 +220,19 @@ def outlier_users(
 ) -> DataFrame:
     """Users above ``factor`` times the percentile of plays, plays per day or repetition."""
     rates = with_rates(activity)
-    limit = {
-        name: percentiles(rates, column, (percentile,), (name,)).scalar()
-        for name, column in (
-            ("plays", "totalPlays"),
-            ("perDay", "playsPerDay"),
-            ("repetition", "trackRepetitionRate"),
-        )
-    }
+    measures = ("totalPlays", "playsPerDay", "trackRepetitionRate")
+    limits = percentile_of_each(rates, measures, percentile)
 
-    def above(value: str, name: str) -> Column:
-        return F.col(value) > F.col(f"limits.{name}") * factor
+    def above(name: str) -> Column:
+        return F.col(name) > F.col(f"limits.{name}") * factor
 
     reasons = [
-        (above("totalPlays", "plays"), buckets.OUTLIER_PLAYS),
-        (above("playsPerDay", "perDay"), buckets.OUTLIER_PER_DAY),
-        (above("trackRepetitionRate", "repetition"), buckets.OUTLIER_REPETITION),
+        (above("totalPlays"), buckets.OUTLIER_PLAYS),
+        (above("playsPerDay"), buckets.OUTLIER_PER_DAY),
+        (above("trackRepetitionRate"), buckets.OUTLIER_REPETITION),
     ]
     return (
-        rates.withColumn("limits", F.struct(*[value.alias(name) for name, value in limit.items()]))
+        rates.withColumn("limits", limits.select(F.struct(*measures)).scalar())
         .filter(reasons[0][0] | reasons[1][0] | reasons[2][0])
         .withColumn("outlierReason", buckets.first_match(reasons[:-1], reasons[-1][1]))
         .drop("limits")

@@ -15,3 +15,15 @@ def children(spark: SparkSession, path: str) -> list[str]:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """All files below a path whose name does not mark them as hidden."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, every = [], fs.listFiles(target, True)
+    while every.hasNext():
+        file = every.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            found.append(file.toString())
+    return found
