@@ -17,6 +17,12 @@ words. Baum-Welch starts from a fixed random model, which breaks the symmetry, a
 training documents for ``ROUNDS`` rounds. A round is one Spark job in which every partition adds up its
 expected counts by symbol and Spark adds up the partitions.
 
+Recursions run along many texts side by side, one step for the next symbol of each. So that a few
+long texts do not make thousands of steps for themselves, rounds learn from stretches of at most
+``STRETCH`` symbols; every symbol is in one of them, and stretches that begin inside a text have a
+first state of their own (``enter``). Scores follow every text from beginning to end: a text of a
+million words is a million steps of one row, about ten seconds.
+
 A missing or empty text is the end mark alone. Repeated rows are scored alike and each counts in
 training. A missing id is never held out. Without training documents N and V are 0 and the model
 is uniform.
@@ -36,7 +42,8 @@ from pyspark.sql import functions as F
 from sessionlab.llm.chains import SideBySide
 from sessionlab.llm.common import same_row, stored, texts, version
 
-HEAD = 1 << 14
+HEAD = (1 << 16) - 2
+STRETCH = 1024
 STATES = 6
 ROUNDS = 8
 SMOOTH = 0.01
@@ -203,6 +210,7 @@ def tail_scores(encoded: DataFrame, counts: DataFrame, head: Head) -> DataFrame:
 @dataclass(frozen=True)
 class Model:
     start: np.ndarray  # (states)
+    enter: np.ndarray  # (states)
     moves: np.ndarray  # (states, states)
     emits: np.ndarray  # (symbols, states)
 
@@ -212,11 +220,15 @@ def _random_model(symbols: int, counts: np.ndarray) -> Model:
     random = np.random.default_rng(1)
     emits = (counts[:, None] + SMOOTH) * random.uniform(0.5, 1.5, (symbols, STATES))
     moves = np.eye(STATES) * 0.8 + 0.2 / STATES
-    return Model(np.full(STATES, 1 / STATES), moves, emits / emits.sum(axis=0))
+    first = np.full(STATES, 1 / STATES)
+    return Model(first, first, moves, emits / emits.sum(axis=0))
 
 
-def _forward(symbols: np.ndarray, layout: SideBySide, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Scaled forward probabilities of every item, and its scale."""
+def _forward(
+    symbols: np.ndarray, layout: SideBySide, model: Model, inner: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled forward probabilities of every item, and its scale. ``inner`` marks the sequences that
+    begin inside a text, in the order of the layout."""
     emitted = model.emits[symbols]
     alpha, scale = np.empty_like(emitted), np.empty(len(symbols))
     for number, step in enumerate(layout.steps):
@@ -224,17 +236,25 @@ def _forward(symbols: np.ndarray, layout: SideBySide, model: Model) -> tuple[np.
             now = alpha[layout.steps[number - 1]][: step.stop - step.start] @ model.moves
             now *= emitted[step]
         else:
-            now = emitted[step] * model.start
+            now = emitted[step] * np.where(inner[:, None], model.enter, model.start)
         total = now.sum(axis=1)
         alpha[step] = now / total[:, None]
         scale[step] = total
     return alpha, scale
 
 
-def _groups(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, SideBySide]]:
-    """Rows of a batch with about TOKENS_AT_A_TIME symbols, laid out side by side. Rows of like
-    length go together, so that few groups have many steps."""
+def _groups(
+    batch: pa.RecordBatch, stretch: int | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray, SideBySide, np.ndarray]]:
+    """(rows, symbols, layout, inner) for about TOKENS_AT_A_TIME symbols of a batch at a time, laid
+    out side by side. Rows of like length go together, so that few groups have many steps. With
+    ``stretch`` long rows are cut into stretches, which count as rows of their own."""
     data = batch["symbols"].to_pylist()
+    inner = np.zeros(len(data), bool)
+    if stretch:
+        parts = [(d[a : a + 2 * stretch], a > 0) for d in data for a in range(0, len(d), 2 * stretch)]
+        data = [d for d, _ in parts]
+        inner = np.array([i for _, i in parts], bool)
     lengths = np.array([len(d) // 2 for d in data], np.int64)
     order = np.argsort(-lengths, kind="stable")
     group = np.cumsum(lengths[order]) // TOKENS_AT_A_TIME
@@ -243,12 +263,14 @@ def _groups(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, Sid
             layout = SideBySide(lengths[rows])
             symbols = np.empty(int(lengths[rows].sum()), np.int64)
             symbols[layout.place] = np.frombuffer(b"".join(data[i] for i in rows), "<u2")
-            yield rows, symbols, layout
+            yield rows, symbols, layout, inner[rows][layout.order]
 
 
-def _expected(symbols: np.ndarray, layout: SideBySide, model: Model, sums: dict) -> None:
+def _expected(
+    symbols: np.ndarray, layout: SideBySide, model: Model, sums: dict, inner: np.ndarray
+) -> None:
     """Add the expected counts of these texts to ``sums``."""
-    alpha, scale = _forward(symbols, layout, model)
+    alpha, scale = _forward(symbols, layout, model, inner)
     emitted = model.emits[symbols] / scale[:, None]
     steps = layout.steps
     beta = None
@@ -265,7 +287,8 @@ def _expected(symbols: np.ndarray, layout: SideBySide, model: Model, sums: dict)
         beta = own
         # What is left in alpha is the probability of the state given the whole text.
         alpha[step] *= own
-    sums["start"] += alpha[steps[0]].sum(axis=0)
+    sums["start"] += alpha[steps[0]][~inner].sum(axis=0)
+    sums["enter"] += alpha[steps[0]][inner].sum(axis=0)
     for state in range(STATES):
         sums["emits"][:, state] += np.bincount(symbols, alpha[:, state], len(model.emits))
 
@@ -281,12 +304,13 @@ def baum_welch_round(encoded: DataFrame, model: Model) -> Model:
             "emits": np.zeros((size, STATES)),
             "moves": np.zeros((STATES, STATES)),
             "start": np.zeros(STATES),
+            "enter": np.zeros(STATES),
         }
         for batch in batches:
-            for _, symbols, layout in _groups(batch):
-                _expected(symbols, layout, own, sums)
+            for _, symbols, layout, inner in _groups(batch, STRETCH):
+                _expected(symbols, layout, own, sums, inner)
         sums["moves"] *= own.moves
-        rows = np.concatenate([sums["emits"], sums["moves"], sums["start"][None]])
+        rows = np.concatenate([sums["emits"], sums["moves"], [sums["start"], sums["enter"]]])
         used = np.flatnonzero(rows.any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(used)] + [pa.array(rows[used, s]) for s in range(STATES)],
@@ -296,14 +320,19 @@ def baum_welch_round(encoded: DataFrame, model: Model) -> Model:
     schema = "place long, " + ", ".join(f"s{s} double" for s in range(STATES))
     parts = encoded.select("symbols").mapInArrow(run, schema)
     added = parts.groupBy("place").agg(*[F.sum(f"s{s}").alias(f"s{s}") for s in range(STATES)])
-    table = np.zeros((size + STATES + 1, STATES))
-    for place, *values in added.collect():  # at most symbols + states + 1 rows
+    table = np.zeros((size + STATES + 2, STATES))
+    for place, *values in added.collect():  # at most symbols + states + 2 rows
         table[place] = values
     shared.unpersist()
     emits = table[:size] + SMOOTH
     moves = table[size : size + STATES] + SMOOTH
-    start = table[size + STATES] + SMOOTH
-    return Model(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emits / emits.sum(axis=0))
+    start, enter = table[size + STATES :] + SMOOTH
+    return Model(
+        start / start.sum(),
+        enter / enter.sum(),
+        moves / moves.sum(axis=1, keepdims=True),
+        emits / emits.sum(axis=0),
+    )
 
 
 def fit(encoded: DataFrame, head: Head) -> Model:
@@ -322,8 +351,8 @@ def symbol_scores(encoded: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, symbols, layout in _groups(batch):
-                _, scale = _forward(symbols, layout, shared.value)
+            for rows, symbols, layout, inner in _groups(batch):
+                _, scale = _forward(symbols, layout, shared.value, inner)
                 logs = np.log(scale)[layout.place]
                 sums = np.add.reduceat(logs, layout.first) / LOG10
                 part = batch.take(pa.array(rows))

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -224,28 +225,90 @@ def test_marginals_equal_enumeration():
                 assert moves[i, 3] == pytest.approx(both)
 
 
-def test_forward_recursion_equals_enumeration():
+@pytest.fixture
+def small_model():
     random = np.random.default_rng(2)
     states = language_model.STATES
-    emits = random.random((4, states))
-    moves = random.random((states, states))
-    model = language_model.Model(
-        np.full(states, 1 / states), moves / moves.sum(axis=1, keepdims=True), emits / emits.sum(axis=0)
+    part = lambda *shape: random.random(shape) + 0.05
+    start, enter, moves, emits = part(states), part(states), part(states, states), part(4, states)
+    return language_model.Model(
+        start / start.sum(), enter / enter.sum(), moves / moves.sum(axis=1, keepdims=True), emits / emits.sum(axis=0)
     )
-    texts = [[1, 2, 0], [3, 0], [0], [2, 2, 1, 0]]
-    layout = language_model.SideBySide(np.array([len(t) for t in texts]))
-    symbols = np.empty(sum(map(len, texts)), np.int64)
-    symbols[layout.place] = np.concatenate(texts)
-    _, scale = language_model._forward(symbols, layout, model)
-    got = np.add.reduceat(np.log(scale)[layout.place], layout.first)
-    for text, value in zip(texts, got):
-        total = sum(
-            model.start[path[0]]
+
+
+def walks(text, model, first):
+    """(probability, states) of every walk through the states that emits the text."""
+    for path in itertools.product(range(language_model.STATES), repeat=len(text)):
+        yield (
+            first[path[0]]
             * math.prod(model.moves[a, b] for a, b in zip(path, path[1:]))
             * math.prod(model.emits[s, p] for s, p in zip(text, path))
-            for path in itertools.product(range(states), repeat=len(text))
-        )
-        assert value == pytest.approx(math.log(total))
+        ), path
+
+
+def encoded_batch(texts):
+    return pa.RecordBatch.from_pydict({"symbols": pa.array([np.array(t, "<u2").tobytes() for t in texts], pa.binary())})
+
+
+def test_forward_recursion_equals_enumeration(small_model):
+    texts = [[1, 2, 0], [3, 0], [0], [2, 2, 1, 0]]
+    found = {}
+    for rows, symbols, layout, inner in language_model._groups(encoded_batch(texts)):
+        _, scale = language_model._forward(symbols, layout, small_model, inner)
+        found |= dict(zip(rows, np.add.reduceat(np.log(scale)[layout.place], layout.first)))
+    for number, text in enumerate(texts):
+        total = sum(p for p, _ in walks(text, small_model, small_model.start))
+        assert found[number] == pytest.approx(math.log(total))
+
+
+@pytest.mark.parametrize("stretch", [None, 2])
+def test_a_round_equals_enumeration(monkeypatch, spark, small_model, stretch):
+    """New parameters from the expected counts of all walks."""
+    monkeypatch.setattr(language_model, "STRETCH", stretch)
+    texts = [[1, 2, 0], [3, 0], [0], [2, 2, 1, 0], [1, 2, 0]]
+    states, smooth = language_model.STATES, language_model.SMOOTH
+    start, enter = np.full(states, smooth), np.full(states, smooth)
+    moves, emits = np.full((states, states), smooth), np.full((4, states), smooth)
+    step = stretch or 99
+    for text in texts:
+        for at in range(0, len(text), step):
+            part = text[at : at + step]
+            every = list(walks(part, small_model, small_model.enter if at else small_model.start))
+            total = sum(p for p, _ in every)
+            for p, path in every:
+                (enter if at else start)[path[0]] += p / total
+                for symbol, state in zip(part, path):
+                    emits[symbol, state] += p / total
+                for a, b in zip(path, path[1:]):
+                    moves[a, b] += p / total
+    frame = spark.createDataFrame([(np.array(t, "<u2").tobytes(),) for t in texts], "symbols binary").repartition(3)
+    got = language_model.baum_welch_round(frame, small_model)
+    assert np.allclose(got.start, start / start.sum()) and np.allclose(got.enter, enter / enter.sum())
+    assert np.allclose(got.moves, moves / moves.sum(axis=1, keepdims=True))
+    assert np.allclose(got.emits, emits / emits.sum(axis=0))
+
+
+def test_rounds_raise_the_likelihood(spark):
+    random = np.random.default_rng(5)
+    texts = [[*(random.integers(2, 6, 30) + 4 * (k % 2)), 0] for k in range(40)]
+    frame = spark.createDataFrame([(np.array(t, "<u2").tobytes(),) for t in texts], "symbols binary")
+    model = language_model._random_model(10, np.ones(10))
+
+    def likelihood():
+        groups = language_model._groups(encoded_batch(texts))
+        return sum(np.log(language_model._forward(s, la, model, i)[1]).sum() for _, s, la, i in groups)
+
+    values = [likelihood()]
+    for _ in range(4):
+        model = language_model.baum_welch_round(frame, model)
+        values.append(likelihood())
+    assert all(b > a - 1e-6 for a, b in zip(values, values[1:])) and values[-1] > values[0] + 10
+
+
+def test_a_very_long_text_is_scored(frame):
+    rows = [(i, f"word{i % 7} and more") for i in range(40)] + [(99, "very long " * 50_000), (100, "x" * 2_000_000)]
+    got = {r.doc_id: r for r in language_model.score_texts(frame(rows)).collect()}
+    assert got[99].n_tokens == 100_001 and math.isfinite(got[99].score) and got[100].n_tokens == 2
 
 
 def test_language_model_scores(monkeypatch, frame):
