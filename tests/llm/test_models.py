@@ -365,6 +365,29 @@ def test_main_text():
     assert html_text.main_text("<div>" * 5000 + "deep &eacute;") == "deep é"
 
 
+TEXT = "A long text of the article, with commas, stops; and more words, as they come. " * 3
+
+
+@pytest.mark.parametrize(
+    "page, blocks",
+    [
+        ('<body><div class="post has-sidebar"><p>{t}</p><p>{t}</p></div></body>', "tt"),
+        ('<div class="layout with-header"><article><p>{t}</p></article></div><div class="sidebar">x</div>', "t"),
+        ('<body><div><p>A lead, with a comma.</p></div><div class="body"><p>{t}{t}</p><p>{t}</p></div><div>(c)</div></body>', "ltt"),
+        ('<body><h1>Title</h1><div class="body"><p>{t}</p><p>{t}</p></div></body>', "Ttt"),
+        ('<article><h1><a href="x">Title</a></h1><p>{t}</p><p>{t}</p></article>', "Ttt"),
+        ('<div class="content related-posts"><p>{t}</p></div>', "t"),
+        ('<body><article><p>{t}</p></article><article><p>{t}</p></article><div class="comments"><p>{t}{t}{t}</p></div></body>', "tt"),
+        ('<main><p>{t}</p><section class="comments"><article class="comment"><p>{t}{t}{t}</p></article></section></main>', "t"),
+        ('<article><p>Short.</p><div class="ad"><p>{t}{t}</p></div><p>End.</p></article>', "SE"),
+    ],
+)
+def test_article_text_is_not_lost(page, blocks):
+    found = html_text.main_text(page.replace("{t}", TEXT)).split("\n")
+    kinds = {"A long": "t", "A lead": "l", "Title": "T", "Short.": "S", "End.": "E"}
+    assert "".join(kinds.get(b[:6], "?") for b in found) == blocks
+
+
 def test_extract_keeps_every_page(spark):
     pages = spark.createDataFrame(
         [(1, "u", PAGE, 5), (2, None, None, 6), (2, None, None, 6), (None, "v", "plain", 7)],
