@@ -100,8 +100,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_quality_rules")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
-    return quality.judge(table(spark, sf_dir, "documents"), trusted)
+    labels = table(spark, sf_dir, "labels")
+    good, bad = (labels.filter(F.col("quality") == q).select("doc_id") for q in (1, 0))
+    return quality.judge(table(spark, sf_dir, "documents"), good, bad)
 
 
 @query("op3_suffix_dedup")

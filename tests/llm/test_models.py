@@ -11,6 +11,7 @@ import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -143,16 +144,60 @@ def test_base_figures_equal_brute_force(spark, frame):
     assert quality.judge(docs.limit(0), docs.select("doc_id")).count() == 0
 
 
-def test_verdict_separates_the_labelled_documents(spark):
-    folder = "/root/testdata/sf0.1"
-    got = QUERIES["op6_quality_rules"](spark, folder)
-    labels = spark.read.parquet(f"{folder}/labels.parquet")
-    counts = {
-        (r.quality, r.kept): r["count"]
-        for r in got.filter("NOT base_failed").join(labels, "doc_id").groupBy("quality", "kept").count().collect()
-    }
-    assert counts.get((1, False), 0) <= 0.01 * counts[1, True]
-    assert counts.get((0, True), 0) <= 0.1 * counts[0, False]
+def gram_bucket(words, buckets):
+    value = 42
+    for word in words:
+        value = xxhash.xxh64(word.encode(), seed=value & (2**64 - 1)).intdigest()
+    return (value - 2**64 if value >= 2**63 else value) % buckets
+
+
+def test_scores_equal_brute_force(spark, frame):
+    random = np.random.default_rng(8)
+    texts = [None, "", "one", " two\twords "] + [
+        " ".join(f"{kind}{k}" for k in random.integers(0, 30, 70)) for kind in "aab" for _ in range(6)
+    ]
+    rows = [*enumerate(texts), (4, texts[4])]
+    trusted = spark.createDataFrame([(4,), (5,), (5,), (99,), (None,)], "doc_id int")
+    buckets = 64
+    grams = lambda t: [
+        gram_bucket(w[i : i + n], buckets) for w in [(t or "").split()] for n in (1, 2) for i in range(len(w) - n + 1)
+    ]
+    corpus = collections.Counter(g for _, t in rows for g in grams(t))
+    own = collections.Counter(g for i, t in rows if i in (4, 5) for g in grams(t))
+    prior, every, all_own = quality.PRIOR * buckets, sum(corpus.values()), sum(own.values())
+    ratio = {g: math.log((own[g] + prior * n / every) / (all_own + prior)) - math.log(n / every) for g, n in corpus.items()}
+    for r in quality.judge(frame(rows), trusted, buckets=buckets, cut=0.01).collect():
+        found = grams(texts[r.doc_id])
+        assert r.score == pytest.approx(sum(ratio[g] for g in found) / max(len(found), 1))
+        assert r.kept == (not r.base_failed and r.score >= 0.01)
+
+
+def test_the_cut_parts_good_from_bad():
+    cut = lambda good, bad: quality.cut_between(np.array(good, float), np.array(bad, float))
+    assert cut([5, 6], [1, 2]) == 3.5 and cut([2, 5, 6, 7], [1, 1, 3]) == 4
+    assert cut([], [1]) == -math.inf and cut([], []) == -math.inf
+    assert cut([4, 6], []) == 5 - quality.DEVIATIONS
+    assert cut([1, 2], [8, 9]) == 1 and cut([3, 3], [3]) <= 3
+
+
+def test_verdict_holds_for_documents_that_are_not_counted(spark):
+    """Held-out trusted documents pass, bad ones do not, and the share of unlabelled documents that
+    are rejected does not depend on the size of the table."""
+    rejected = {}
+    for size in ("0.01", "0.1"):
+        folder = f"/root/testdata/sf{size}"
+        got = QUERIES["op6_quality_rules"](spark, folder).filter("NOT base_failed")
+        labels = spark.read.parquet(f"{folder}/labels.parquet")
+        held = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(quality.HELD_OUT)) == 0
+        counts = collections.Counter()
+        for r in got.join(labels, "doc_id", "left").select("quality", "kept", held.alias("held")).collect():
+            counts[r.quality, r.kept] += 1
+            counts["held", r.kept] += r.quality == 1 and r.held
+        share = lambda kind, kept: counts[kind, kept] / (counts[kind, True] + counts[kind, False])
+        assert share(1, False) <= 0.01 and share("held", False) <= 0.05 and share(0, True) <= 0.05
+        rejected[size] = share(None, False)
+        print(size, {k: round(share(k, False), 4) for k in (1, "held", None)}, round(share(0, True), 4))
+    assert abs(rejected["0.01"] - rejected["0.1"]) <= 0.05 and rejected["0.1"] <= 0.1
 
 
 def test_toxic_documents_are_found_and_clean_ones_left_alone(spark):
