@@ -22,6 +22,7 @@ from sessionlab.operators.sessions import (
 from sessionlab.plans.quality import clean_metrics, completeness, completeness_counts
 from sessionlab.session import use_utc
 from sessionlab.sources.readers import read_events, read_parquet
+from sessionlab.sources.user_buckets import UserBuckets
 from sessionlab.sources.writers import write_parquet, write_single_tsv
 
 log = logging.getLogger(__name__)
@@ -31,23 +32,38 @@ SESSIONS = ("silver", "user-sessions.parquet")
 TOP_SESSIONS = ("gold", "top-sessions.parquet")
 TOP_TRACKS = ("gold", "top-session-tracks.parquet")
 TOP_SONGS = ("results", "top_songs.tsv")
+PLAYS_BY_USER = ("silver", "plays-by-user")
+
+
+def plays_by_user(spark: SparkSession, config: JobConfig) -> UserBuckets:
+    return UserBuckets(
+        spark,
+        config.output(*PLAYS_BY_USER),
+        config.user_buckets,
+        gap_minutes=config.session_gap_minutes,
+    )
 
 
 def clean(spark: SparkSession, config: JobConfig) -> DataFrame:
     """Store the cleaned plays; returns their metrics, computed from the stored files. The raw
-    file is read once: its rows are counted while they are cleaned."""
+    file is read once: its rows are counted while they are cleaned. With ``user_buckets`` the plays
+    are stored a second time, by user."""
     raw = read_events(spark, config.events_path)
     seen = Observation("raw events")
     observed = raw.observe(seen, *completeness_counts())
     path = write_parquet(by_user(clean_events(observed)), config.output(*PLAYS))
-    return clean_metrics(completeness(spark, seen.get), read_parquet(spark, path))
+    plays = read_parquet(spark, path)
+    if config.user_buckets:
+        plays_by_user(spark, config).write(plays)
+    return clean_metrics(completeness(spark, seen.get), plays)
 
 
 def analyze_sessions(spark: SparkSession, config: JobConfig) -> DataFrame:
     """Store all sessions, the longest ones and the tracks of these; returns session metrics."""
     gap = config.session_gap_minutes
     plays = read_parquet(spark, config.output(*PLAYS))
-    stored = write_parquet(sessionize(plays, gap), config.output(*SESSIONS))
+    found = plays_by_user(spark, config).sessions() if config.user_buckets else sessionize(plays, gap)
+    stored = write_parquet(found, config.output(*SESSIONS))
     sessions = read_parquet(spark, stored)
 
     best = top_sessions(sessions, config.top_sessions)

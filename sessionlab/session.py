@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -36,11 +39,33 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in a folder that all executors share.
+_run: ContextVar[str | None] = ContextVar("scratch folder of the run", default=None)
+
 
-    That is ``spark.checkpoint.dir``, or the warehouse where it is not set. A path without a
-    scheme belongs to the default file system, as everywhere in Spark.
-    """
+def scratch_root(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``, or the warehouse where it is
+    not set. A path without a scheme belongs to the default file system, as everywhere in Spark."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/sessionlab/{uuid.uuid4().hex}/{name}"
+    return f"{root.rstrip('/')}/sessionlab"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below :func:`scratch_root`, within a :func:`scratch_run` below its folder."""
+    root = _run.get() or scratch_root(spark)
+    return f"{root}/{uuid.uuid4().hex}/{name}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """A folder for the intermediate tables of a job, removed when the block ends, however it ends.
+
+    Frames are read when they are used, so a result must be written elsewhere inside the block: to a
+    path of the job, or to one taken from :func:`scratch_path` before the block."""
+    folder = f"{_run.get() or scratch_root(spark)}/run_{uuid.uuid4().hex}"
+    token = _run.set(folder)
+    try:
+        yield folder
+    finally:
+        _run.reset(token)
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,4 +1,6 @@
 import datetime as dt
+import re
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,8 +10,9 @@ from sessionlab.operators import layout
 from sessionlab.operators.sessions import sessionize
 from sessionlab.plans import stages
 from sessionlab.schemas import METRIC
-from sessionlab.session import scratch_path
+from sessionlab.session import scratch_path, scratch_run
 from sessionlab.sources import readers, writers
+from sessionlab.sources.files import exists
 
 
 def write(path, lines):
@@ -175,7 +178,7 @@ def test_balance_report(spark, make_plays):
 def test_config():
     config = JobConfig.from_env({"SESSION_GAP_MINUTES": "30", "TOP_SONGS": "ten", "OUTPUT_PATH": "/x"})
     assert (config.session_gap_minutes, config.top_songs, config.output_path) == (30, 10, "/x")
-    for bad in ({"TOP_SESSIONS": "0"}, {"SESSION_GAP_MINUTES": "-1"}, {"INPUT_PATH": ""}):
+    for bad in ({"TOP_SESSIONS": "0"}, {"SESSION_GAP_MINUTES": "-1"}, {"INPUT_PATH": ""}, {"USER_BUCKETS": "-1"}):
         with pytest.raises(ValueError):
             JobConfig.from_env(bad)
 
@@ -185,7 +188,8 @@ def test_scratch_paths_are_fresh_and_below_the_shared_folder(spark):
     assert a != b and a.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_complete_run(spark, tmp_path):
+@pytest.mark.parametrize("buckets", [0, 3])
+def test_complete_run(spark, tmp_path, buckets):
     """One user, sessions of 3, 2 and 1 plays; the first two are the longest."""
     lines = []
     for day, minutes, tracks in ((1, (0, 10, 30), "xyx"), (2, (0, 20), "xz"), (3, (0,), "z")):
@@ -194,7 +198,7 @@ def test_complete_run(spark, tmp_path):
     lines += [lines[0], ("u", "bad time", "", "A", "", "x"), ("u", "2009-05-01T10:00:00Z", "", "", "", "x")]
     (tmp_path / "in").mkdir()
     config = JobConfig(top_sessions=2, top_songs=2, input_path=str(tmp_path / "in"),
-                       output_path=str(tmp_path / "out"))
+                       output_path=str(tmp_path / "out"), user_buckets=buckets)
     write(tmp_path / "in" / config.events_file, lines)
 
     metrics = stages.run(spark, config)
@@ -212,3 +216,29 @@ def test_complete_run(spark, tmp_path):
 
     plays = readers.read_parquet(spark, config.output(*stages.PLAYS))
     assert sorted(r.trackCount for r in sessionize(plays).collect()) == [1, 2, 3]
+    if buckets:
+        stored = stages.plays_by_user(spark, config)
+        assert stored.plays().count() == 6
+        stored.forget()
+
+
+def test_a_run_leaves_no_scratch_tables(spark):
+    keep = scratch_path(spark, "result")
+    with pytest.raises(ValueError, match="stop"), scratch_run(spark) as folder:
+        spark.range(5).write.parquet(scratch_path(spark, "inner"))
+        with scratch_run(spark) as nested:
+            spark.range(5).write.parquet(scratch_path(spark, "innermost"))
+        assert nested.startswith(folder) and exists(spark, folder) and not exists(spark, nested)
+        spark.range(3).write.parquet(keep)
+        raise ValueError("stop")
+    assert not exists(spark, folder) and spark.read.parquet(keep).count() == 3
+    assert not scratch_path(spark, "later").startswith(folder)
+
+
+def test_entry_survives_a_missing_package(monkeypatch):
+    import __spark_entry__
+
+    monkeypatch.setitem(sys.modules, "sessionlab.llm.registry", None)
+    with pytest.warns(UserWarning, match="cannot be loaded"):
+        names = set(__spark_entry__.queries())
+    assert len(names) > 170 and not any(re.match(r"op\d+_|pipeline$", n) for n in names)
