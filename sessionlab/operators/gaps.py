@@ -38,15 +38,22 @@ def gap_stats(plays: DataFrame, gap_minutes: int = DEFAULT_GAP_MINUTES) -> DataF
     A user's first play counts with gap 0. ``sessions`` is breaks + 1, so it is never zero. The
     median is exact: it is taken from counts per user and gap, which combine before the shuffle.
     """
-    gap = F.col("gapSeconds") / 60
-    median = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY gapSeconds)")
-    return (
+    counts = (
         with_previous_play(plays.select("userId", "timestamp"), gap_minutes=gap_minutes)
-        .groupBy("userId")
+        .groupBy("userId", "gapSeconds")
+        .agg(F.count("*").alias("n"), F.sum("isSessionBreak").alias("breaks"))
+    )
+    user = Window.partitionBy("userId")
+    up_to = user.orderBy("gapSeconds").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = counts.withColumn("upTo", F.sum("n").over(up_to)).withColumn("all", F.sum("n").over(user))
+    seconds = F.sum(F.col("n") * F.col("gapSeconds"))
+    median = F.min(F.when(2 * F.col("upTo") >= F.col("all"), F.col("gapSeconds")))
+    return (
+        running.groupBy("userId")
         .agg(
-            F.count("*").alias("totalPlays"),
-            F.sum("isSessionBreak").alias("breaks"),
-            F.avg(gap).alias("avgGapMinutes"),
+            F.sum("n").alias("totalPlays"),
+            F.sum("breaks").alias("breaks"),
+            (seconds / (60 * F.sum("n"))).alias("avgGapMinutes"),
             (median / 60).alias("medianGapMinutes"),
         )
         .withColumn("sessions", F.col("breaks") + 1)

@@ -241,12 +241,14 @@ def outlier_users(
 
 
 def sampled_behaviour(sample: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Events, tracks and artists in a sample of plays, for the users of the given sessions."""
+    """Events, tracks and artists in a sample of plays, for the users of the given sessions. The
+    sample is reduced to one row per user, artist and track before the distinct counts."""
+    reduced = sample.groupBy("userId", "artistName", "trackName").agg(F.count("*").alias("events"))
     return (
-        sample.join(sessions.select("userId").distinct(), "userId", "left_semi")
+        reduced.join(sessions.select("userId").distinct(), "userId", "left_semi")
         .groupBy("userId")
         .agg(
-            F.count("*").alias("totalEvents"),
+            F.sum("events").alias("totalEvents"),
             F.count_distinct("trackName").alias("uniqueTracks"),
             F.count_distinct("artistName").alias("uniqueArtists"),
         )
