@@ -17,12 +17,12 @@ from sessionlab.session import scratch_path
 HOT_SHARE = 0.001
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: lineage ends here and nothing is
     computed twice. Lost executors cost only the tasks they ran."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

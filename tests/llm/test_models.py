@@ -291,34 +291,42 @@ def walks(text, model, first):
         ), path
 
 
-def encoded_batch(texts):
-    return pa.RecordBatch.from_pydict({"symbols": pa.array([np.array(t, "<u2").tobytes() for t in texts], pa.binary())})
+def block_frame(spark, texts, block_bytes=1 << 20):
+    """Blocks of texts of one-letter words, all of them training documents; the letter of symbol k
+    is the k-th."""
+    data = [(i, False, " ".join("?.abcdefghij"[k] for k in t[:-1]).encode()) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(data, "doc_id long, held_out boolean, data binary")
+    return language_model.stored(language_model.to_blocks(frame.repartition(3), block_bytes), "blocks")
+
+
+HEAD = [b"a", b"b"]  # symbols 2 and 3; "." is none of the head
+
+
+def groups_of(texts):
+    sizes = np.array([len(t) for t in texts])
+    ends = np.cumsum(sizes)
+    return language_model._groups(np.concatenate(texts), ends - sizes, sizes, np.zeros(len(sizes), bool))
 
 
 def test_forward_recursion_equals_enumeration(small_model):
     texts = [[1, 2, 0], [3, 0], [0], [2, 2, 1, 0]]
     found = {}
-    for rows, symbols, layout, inner in language_model._groups(encoded_batch(texts)):
+    for own, symbols, layout, inner in groups_of(texts):
         _, scale = language_model._forward(symbols, layout, small_model, inner)
-        found |= dict(zip(rows, np.add.reduceat(np.log(scale)[layout.place], layout.first)))
+        found |= dict(zip(own, np.add.reduceat(np.log(scale)[layout.place], layout.first)))
     for number, text in enumerate(texts):
         total = sum(p for p, _ in walks(text, small_model, small_model.start))
         assert found[number] == pytest.approx(math.log(total))
 
 
-@pytest.mark.parametrize("stretch", [None, 2])
-def test_a_round_equals_enumeration(monkeypatch, spark, small_model, stretch):
-    """New parameters from the expected counts of all walks."""
-    monkeypatch.setattr(language_model, "STRETCH", stretch)
-    texts = [[1, 2, 0], [3, 0], [0], [2, 2, 1, 0], [1, 2, 0]]
-    states, smooth = language_model.STATES, language_model.SMOOTH
-    start, enter = np.full(states, smooth), np.full(states, smooth)
-    moves, emits = np.full((states, states), smooth), np.full((4, states), smooth)
-    step = stretch or 99
+def expected_by_enumeration(texts, model, stretch):
+    """(start, enter, moves, emits) expected counts over all walks."""
+    states = language_model.STATES
+    start, enter, moves, emits = np.zeros(states), np.zeros(states), np.zeros((states, states)), np.zeros((4, states))
     for text in texts:
-        for at in range(0, len(text), step):
-            part = text[at : at + step]
-            every = list(walks(part, small_model, small_model.enter if at else small_model.start))
+        for at in range(0, len(text), stretch):
+            part = text[at : at + stretch]
+            every = list(walks(part, model, model.enter if at else model.start))
             total = sum(p for p, _ in every)
             for p, path in every:
                 (enter if at else start)[path[0]] += p / total
@@ -326,26 +334,92 @@ def test_a_round_equals_enumeration(monkeypatch, spark, small_model, stretch):
                     emits[symbol, state] += p / total
                 for a, b in zip(path, path[1:]):
                     moves[a, b] += p / total
-    frame = spark.createDataFrame([(np.array(t, "<u2").tobytes(),) for t in texts], "symbols binary").repartition(3)
-    got = language_model.baum_welch_round(frame, small_model)
+    return start, enter, moves, emits
+
+
+TEXTS = [[1, 2, 0], [3, 0], [0], [2, 2, 1, 0], [1, 2, 0]]
+
+
+@pytest.mark.parametrize("stretch, block_bytes", [(99, 1 << 20), (2, 3)])
+def test_a_round_equals_enumeration(monkeypatch, spark, small_model, stretch, block_bytes):
+    monkeypatch.setattr(language_model, "STRETCH", stretch)
+    start, enter, moves, emits = (x + language_model.SMOOTH for x in expected_by_enumeration(TEXTS, small_model, stretch))
+    got = language_model.baum_welch_round(block_frame(spark, TEXTS, block_bytes), small_model, HEAD)
     assert np.allclose(got.start, start / start.sum()) and np.allclose(got.enter, enter / enter.sum())
     assert np.allclose(got.moves, moves / moves.sum(axis=1, keepdims=True))
     assert np.allclose(got.emits, emits / emits.sum(axis=0))
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 3])
+def test_states_of_all_words_equal_enumeration(spark, small_model, block_bytes):
+    """Words outside the head get states of their own from the last round, and scores follow."""
+    # "." and "c" are both symbol 1 in the rounds.
+    texts = [[1, 2, 0], [4, 2, 4, 0], [4, 3, 0], [1, 0]]
+    as_symbols = [[1 if s == 4 else s for s in t] for t in texts]
+    states = language_model.STATES
+    want = {w: np.zeros(states) for w in (b"", b".", b"a", b"b", b"c")}
+    for text, own in zip(texts, as_symbols):
+        every = list(walks(own, small_model, small_model.start))
+        total = sum(p for p, _ in every)
+        for p, path in every:
+            for word, state in zip(text, path):
+                want[b"" if word == 0 else b".abc"[word - 1 : word]][state] += p / total
+    blocks = block_frame(spark, texts, block_bytes)
+    words = language_model.stored(language_model.word_states(blocks, small_model, HEAD), "states")
+    vocabulary = {r.block: [b"", *bytes(r.words).split(b"\n")] if r.words else [b""] for r in blocks.collect()}
+    seen = collections.Counter()
+    for r in words.collect():
+        word = vocabulary[r.block][r.place]
+        share = language_model.unpack(np.array([r.packed]))[0]
+        assert r.n == round(want[word].sum()) and np.allclose(share * r.n, want[word], atol=0.003 * r.n)
+        seen[word] += r.is_first
+    assert seen == dict.fromkeys(want, 1)
+    totals = language_model.state_totals(words)
+    assert np.allclose(totals, sum(want.values()), atol=0.03)
+    # Scores by enumeration, with the emissions of all words.
+    tokens, types = sum(map(len, texts)), len(want)
+    first_rows = {vocabulary[r.block][r.place]: r for r in words.collect() if r.is_first}
+    share = totals / tokens
+    emits = {
+        word: (language_model.unpack(np.array([r.packed]))[0] * r.n + share) / (totals + share * (types + 1))
+        for word, r in first_rows.items()
+    }
+    head = language_model.Head(HEAD, np.array([2, 1]), len(texts), tokens, types)
+    for r in language_model.score_blocks(blocks, words, small_model, head).collect():
+        own = [b"" if k == 0 else b".abc"[k - 1 : k] for k in texts[r.doc_id]]
+        total = sum(
+            small_model.start[path[0]]
+            * math.prod(small_model.moves[a, b] for a, b in zip(path, path[1:]))
+            * math.prod(emits[w][s] for w, s in zip(own, path))
+            for path in itertools.product(range(states), repeat=len(own))
+        )
+        assert r.score == pytest.approx(math.log10(total)) and r.n_known == len(own)
+    # Every state's probabilities add up to 1, with one more word that was never seen.
+    whole = sum(emits.values()) + share / (totals + share * (types + 1))
+    assert np.allclose(whole, 1, atol=1e-3)
+
+
+def test_shares_survive_packing():
+    random = np.random.default_rng(1)
+    shares = random.dirichlet(np.ones(language_model.STATES), 500)
+    assert np.abs(language_model.unpack(language_model.pack(shares)) - shares).max() < 0.003
+    assert language_model.pack(np.eye(language_model.STATES)).min() > 0
+    assert not language_model.unpack(np.zeros(1, np.int64)).any()
+
+
 def test_rounds_raise_the_likelihood(spark):
     random = np.random.default_rng(5)
     texts = [[*(random.integers(2, 6, 30) + 4 * (k % 2)), 0] for k in range(40)]
-    frame = spark.createDataFrame([(np.array(t, "<u2").tobytes(),) for t in texts], "symbols binary")
+    blocks = block_frame(spark, texts)
+    head = [bytes([c]) for c in b"abcdefgh"]
     model = language_model._random_model(10, np.ones(10))
 
     def likelihood():
-        groups = language_model._groups(encoded_batch(texts))
-        return sum(np.log(language_model._forward(s, la, model, i)[1]).sum() for _, s, la, i in groups)
+        return sum(np.log(language_model._forward(s, la, model, i)[1]).sum() for _, s, la, i in groups_of(texts))
 
     values = [likelihood()]
     for _ in range(4):
-        model = language_model.baum_welch_round(frame, model)
+        model = language_model.baum_welch_round(blocks, model, head)
         values.append(likelihood())
     assert all(b > a - 1e-6 for a, b in zip(values, values[1:])) and values[-1] > values[0] + 10
 
@@ -382,14 +456,17 @@ def test_language_model_scores(monkeypatch, frame):
 def test_every_round_learns_from_all_training_documents(monkeypatch, frame):
     seen = []
 
-    def record(encoded, model):
-        seen.append(encoded.count())
+    def record(blocks, model, head):
+        seen.append(sum(held is False for r in blocks.collect() for held in r.held_out))
         return model
 
     monkeypatch.setattr(language_model, "baum_welch_round", record)
-    language_model.score_texts(frame([(i, f"word{i % 9} same") for i in range(1500)]))
+    rows = [(i, f"word{i % 9} same") for i in range(1500)]
+    monkeypatch.setattr(language_model, "BLOCK_BYTES", 500)
+    got = language_model.score_texts(frame(rows)).collect()
     training = sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in range(1500))
-    assert seen == [training] * language_model.ROUNDS
+    # The last round is the one that gathers the states of all words.
+    assert seen == [training] * (language_model.ROUNDS - 1) and len(got) == 1500
 
 
 PAGE = """<!DOCTYPE html><html><head><title>no</title><style>p{}</style></head><body>
