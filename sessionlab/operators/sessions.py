@@ -126,15 +126,33 @@ def assign_sessions(plays: DataFrame, gap_minutes: int = DEFAULT_GAP_MINUTES) ->
 
 
 def sessionize_with_tracks(plays: DataFrame, gap_minutes: int = DEFAULT_GAP_MINUTES) -> DataFrame:
-    """Sessions with ``uniqueTracks``, the number of distinct ``trackKey`` values."""
+    """Sessions with ``uniqueTracks``, the number of distinct ``trackKey`` values.
+
+    The plays move once, to their (user, cell), and are reduced there to one row per track; the
+    cells are counted in the same place, and what moves afterwards are cells and reduced rows.
+    """
+    dealt = (
+        plays.select("userId", "timestamp", "trackKey", _cell("timestamp", gap_minutes).alias("cell"))
+        .filter(F.col("userId").isNotNull() & F.col("cell").isNotNull())
+        .repartition("userId", "cell")
+    )
+    tracks = dealt.groupBy("userId", "cell", "trackKey").agg(
+        F.count("*").alias("plays"),
+        F.min("timestamp").alias("firstPlay"),
+        F.max("timestamp").alias("lastPlay"),
+    )
+    cells = tracks.groupBy("userId", "cell").agg(
+        F.min("firstPlay").alias("firstPlay"), F.max("lastPlay").alias("lastPlay")
+    )
+    numbers = number_cells(cells, gap_minutes).select("userId", "cell", "sessionNumber")
     sessions = (
-        assign_sessions(plays, gap_minutes)
+        tracks.join(numbers, ["userId", "cell"])
         .groupBy("userId", "sessionNumber")
         .agg(
-            F.count("*").alias("trackCount"),
+            F.sum("plays").alias("trackCount"),
             F.count_distinct("trackKey").alias("uniqueTracks"),
-            F.min("timestamp").alias("sessionStart"),
-            F.max("timestamp").alias("sessionEnd"),
+            F.min("firstPlay").alias("sessionStart"),
+            F.max("lastPlay").alias("sessionEnd"),
         )
     )
     return describe(sessions)
