@@ -6,11 +6,13 @@ import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from sessionlab.config import JobConfig
 from sessionlab.operators.cleaning import clean_events
 from sessionlab.operators.layout import by_user
 from sessionlab.operators.ranking import ranking_metrics, top_songs, track_popularity
+from sessionlab.operators.session_store import SessionStore
 from sessionlab.operators.sessions import (
     explode_tracks,
     nest_tracks,
@@ -33,6 +35,8 @@ TOP_SESSIONS = ("gold", "top-sessions.parquet")
 TOP_TRACKS = ("gold", "top-session-tracks.parquet")
 TOP_SONGS = ("results", "top_songs.tsv")
 PLAYS_BY_USER = ("silver", "plays-by-user")
+PLAYS_BY_BATCH = ("silver", "plays-by-batch")
+SESSION_STORE = ("silver", "session-store")
 
 
 def plays_by_user(spark: SparkSession, config: JobConfig) -> UserBuckets:
@@ -82,6 +86,35 @@ def rank_songs(spark: SparkSession, config: JobConfig) -> DataFrame:
     return ranking_metrics(popularity, ranked)
 
 
+def session_store(spark: SparkSession, config: JobConfig) -> SessionStore:
+    return SessionStore(spark, config.output(*SESSION_STORE), config.session_gap_minutes)
+
+
+def add_batch(spark: SparkSession, config: JobConfig, batch: int) -> SessionStore:
+    """Clean the raw events of ``config.input_path`` as the next batch and bring the sessions up to
+    date; batch numbers rise. The store then holds what one run over all batches would find.
+
+    A play that an earlier batch brought too is dropped: of the plays stored before, only those in
+    the time range of the new ones are read. A batch that is added again replaces its plays and
+    leaves complete sessions alone.
+    """
+    use_utc(spark)
+    key = ["userId", "timestamp", "trackKey"]
+    folder, store = config.output(*PLAYS_BY_BATCH), session_store(spark, config)
+    if batch in store.batches():
+        return store
+    new = clean_events(read_events(spark, config.events_path))
+    earlier = [f"{folder}/batch={b}" for b in store.batches()]
+    if earlier:
+        span = new.agg(F.min("timestamp"), F.max("timestamp")).first()
+        if span[0] is not None:
+            before = spark.read.parquet(*earlier).filter(F.col("timestamp").between(*map(F.lit, span)))
+            new = new.join(before.select(key), key, "left_anti")
+    path = write_parquet(by_user(new), f"{folder}/batch={batch}")
+    store.add(read_parquet(spark, path), batch)
+    return store
+
+
 STAGES: dict[str, Callable[[SparkSession, JobConfig], DataFrame]] = {
     "data-cleaning": clean,
     "session-analysis": analyze_sessions,

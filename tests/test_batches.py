@@ -8,11 +8,15 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from test_plans import exchanges, final_plan, plan
 
+from sessionlab import JobConfig
 from sessionlab.operators import sessions as ops
+from sessionlab.operators.cleaning import clean_events
 from sessionlab.operators.ranks import number_in_groups, number_rows
 from sessionlab.operators.session_store import SessionStore
+from sessionlab.plans import stages
 from sessionlab.plans.validation import rank_errors, recheck_ranks
 from sessionlab.session import scratch_path
+from sessionlab.sources.readers import read_events
 from sessionlab.sources.user_buckets import UserBuckets
 
 START = dt.datetime(2023, 1, 1)
@@ -168,3 +172,27 @@ def test_ranks_are_rechecked_in_ranges(spark):
     wrong = frame.withColumn("rank", F.when(F.col("rank") == 7, 8).when(F.col("rank") == 8, 7).otherwise(F.col("rank")))
     assert rank_errors(recheck_ranks(frame, [F.desc("n")])).count() == 0
     assert sorted(r.rankDifference for r in rank_errors(recheck_ranks(wrong, [F.desc("n")])).collect()) == [-1, 1]
+
+
+def test_raw_batches_equal_one_cleaned_run(spark, tmp_path):
+    """Raw files that overlap: copies of earlier plays, late plays, bad rows."""
+    random.seed(6)
+    lines = [
+        (f"u{i % 4}", f"2009-05-{1 + i % 3:02}T{i * 7 % 24:02}:{i * 13 % 60:02}:00Z", "", f"A{i % 3}", "", f"t{i % 5}")
+        for i in range(120)
+    ] + [("u1", "never", "", "A", "", "x")]
+    parts = {0: lines[:60], 1: lines[40:90], 2: lines[80:] + lines[:10], 3: []}
+
+    def config(name, rows):
+        (tmp_path / name).mkdir()
+        made = JobConfig(input_path=str(tmp_path / name), output_path=str(tmp_path / "out"))
+        (tmp_path / name / made.events_file).write_text("".join("\t".join(r) + "\n" for r in rows))
+        return made
+
+    for batch, rows in parts.items():
+        store = stages.add_batch(spark, config(f"in{batch}", rows), batch)
+    stages.add_batch(spark, JobConfig(input_path=str(tmp_path / "in1"), output_path=str(tmp_path / "out")), 1)
+    whole = clean_events(read_events(spark, config("all", lines).events_path))
+    assert times(store.sessions().collect()) == times(ops.sessionize(whole).collect())
+    stored = spark.read.parquet(str(tmp_path / "out" / "silver" / "plays-by-batch"))
+    assert stored.count() == whole.count()
