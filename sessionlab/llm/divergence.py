@@ -46,7 +46,7 @@ MIN_DOCS = 3
 FIRST_PREFIX = 4
 TOP_TERMS = 200
 ONE = 1_000_000_000
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 END = b" "
 
 # A-Z to a-z; every other byte that is no part of a term to a blank.
@@ -75,6 +75,25 @@ def terms_of(data: bytes) -> list[bytes]:
     return data.translate(FOLD).split()
 
 
+def in_order(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the words in ascending order, their heads in that order).
+
+    Numbers made of the first sixteen bytes order nearly all; words that share these follow."""
+    first = np.array(words, f"S{2 * HEAD}").view(np.uint8).reshape(len(words), 2 * HEAD).copy()
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    short = np.flatnonzero(lengths < 2 * HEAD)
+    first[short, lengths[short]] = END[0]
+    high, low = (first[:, k : k + HEAD].copy().view(">u8").ravel().astype(np.uint64) for k in (0, HEAD))
+    order = np.lexsort((low, high))
+    high, low = high[order], low[order]
+    same = np.flatnonzero((high[1:] == high[:-1]) & (low[1:] == low[:-1]))
+    for run in np.split(same, np.flatnonzero(np.diff(same) > 1) + 1):
+        if len(run):
+            own = slice(int(run[0]), int(run[-1]) + 2)
+            order[own] = sorted(order[own].tolist(), key=words.__getitem__)
+    return order, high
+
+
 class BlockBuilder:
     """Gathers documents; terms are numbered as they come and renumbered in order at the end."""
 
@@ -101,26 +120,26 @@ class BlockBuilder:
 
     def row(self, number: int) -> pa.RecordBatch:
         langs = sorted(self.terms)
-        words, ends, old = [], [], []
+        words, ends, heads = [], [], []
+        rank = np.empty(self.used, np.int32)
         for lang in langs:
-            ordered = sorted(self.terms[lang])
-            old += map(self.terms[lang].__getitem__, ordered)
-            words += ordered
+            own, numbers = list(self.terms[lang]), np.array(list(self.terms[lang].values()), np.int64)
+            order, head = in_order(own)
+            rank[numbers[order]] = np.arange(len(words), len(words) + len(own))
+            words += map(own.__getitem__, order.tolist())
+            heads.append(head.astype(">u8").tobytes())
             ends.append(len(words))
-        rank = np.empty(len(words), np.int32)
-        rank[old] = np.arange(len(words))
         sizes = np.array([len(p) for p in self.places])
         places = rank[np.concatenate(self.places)]
         order = np.argsort(np.repeat(np.arange(len(sizes)), sizes) * (len(words) + 1) + places)
         counts = np.concatenate(self.counts)[order]
-        heads = np.array([w[:HEAD] + END[: HEAD - len(w)] for w in words], f"S{HEAD}")
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()),
                 pa.array([langs], pa.list_(pa.string())),
                 pa.array([ends], pa.list_(pa.int32())),
                 pa.array([END.join(words)], pa.binary()),
-                pa.array([heads.tobytes()], pa.binary()),
+                pa.array([b"".join(heads)], pa.binary()),
                 pa.array(
                     [[{"lang": a, "source": b} for a, b in self.groups]],
                     pa.list_(pa.struct([("lang", pa.string()), ("source", pa.string())])),
@@ -201,10 +220,15 @@ class Block:
         own = kept[self.places]
         used = own >= 0
         key = doc_source[self.doc[used]] * max(len(places), 1) + own[used]
-        order = np.argsort(key, kind="stable")
-        key, counts = key[order], self.counts[used][order].astype(np.int64)
-        first = np.flatnonzero(np.diff(key, prepend=-1))
-        key, sums = key[first], np.add.reduceat(counts, first) if len(first) else counts
+        if len(sources) * len(places) <= 8 * len(key):
+            dense = np.bincount(key, self.counts[used]).astype(np.int64)
+            key = np.flatnonzero(dense)
+            sums = dense[key]
+        else:  # many sources that use few terms each
+            order = np.argsort(key)
+            key, counts = key[order], self.counts[used][order].astype(np.int64)
+            first = np.flatnonzero(np.diff(key, prepend=-1))
+            key, sums = key[first], np.add.reduceat(counts, first) if len(first) else counts
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(sources, pa.string()).take(pa.array(key // max(len(places), 1))),
@@ -215,8 +239,8 @@ class Block:
         )
 
 
-def write_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> str:
-    """Store the documents as blocks; returns the name of the table, bucketed by block."""
+def write_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The documents as stored blocks, bucketed by block."""
     spark = docs.sparkSession
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     rows = docs.select(empty("lang"), empty("source"), F.encode(empty("text"), "UTF-8").alias("data"))
@@ -239,7 +263,9 @@ def write_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> str:
     name = f"term_blocks_{uuid.uuid4().hex}"
     writer = rows.mapInArrow(run, BLOCK).repartition(buckets, "block").write.bucketBy(buckets, "block")
     writer.option("compression", "zstd").option("path", scratch_path(spark, "term_blocks")).saveAsTable(name)
-    return name
+    blocks = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the entry of the catalog; the frame knows its files
+    return blocks
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], *fields: str) -> Iterator[tuple]:
@@ -278,7 +304,7 @@ def level(blocks: DataFrame, ranges: DataFrame | None, length: int) -> DataFrame
 def kept_terms(blocks: DataFrame, min_docs: int = MIN_DOCS, first: int = FIRST_PREFIX) -> DataFrame:
     """(lang, term, term_id, block, place): the terms in enough documents, once for every block
     that holds them. Stored frames, one for every level."""
-    same = Window.partitionBy("lang", "prefix")
+    same = Window.partitionBy("prefix", "lang")  # in this order, few rows compare equal at first
     found, ranges, length = [], None, first
     while True:
         parts = level(blocks, ranges, length)
@@ -400,15 +426,12 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> Da
 
     Part ``pair`` has every other source of the language, part ``term`` the ``top`` terms that a
     source uses more than its language does."""
-    spark = docs.sparkSession
-    name = write_blocks(docs)
-    blocks = spark.table(name)
+    blocks = write_blocks(docs)
     kept = kept_terms(blocks, min_docs)
     used = stored(count_terms(blocks, kept), "term_counts")
     sources = stored(
         blocks.select(F.explode("groups").alias("g")).select("g.lang", "g.source").distinct(), "sources"
     )
-    spark.sql(f"DROP TABLE {name}")  # the catalog entry; everything below reads stored frames
 
     # One row per term: that of its first block.
     terms = kept.filter(F.col("term_id") == F.col("block") * PLACES + F.col("place")).select(

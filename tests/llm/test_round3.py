@@ -141,15 +141,26 @@ def test_kept_terms_do_not_depend_on_blocks_or_levels(spark, audited):
     want = sorted((lang, t.decode()) for lang, terms in documents.items() for t, n in terms.items() if n >= 3)
     frame = spark.createDataFrame(audited, DOCS)
     for block_bytes, first in ((1, 1), (500, 3), (1 << 20, 4)):
-        blocks = spark.table(divergence.write_blocks(frame, block_bytes))
+        blocks = divergence.write_blocks(frame, block_bytes)
         kept = divergence.kept_terms(blocks, 3, first)
         assert sorted(tuple(r) for r in kept.select("lang", "term").distinct().collect()) == want
         assert kept.select("lang", "term").distinct().count() == kept.select("term_id").distinct().count()
 
 
+def test_words_are_ordered_by_their_bytes():
+    random.seed(2)
+    words = {bytes(random.choices(b"abz\xc3\xa9", k=random.randint(1, 24))) for _ in range(3000)}
+    words |= {b"a" * n for n in range(1, 40)} | {b"a" * 16 + w for w in list(words)[:50]}
+    words = list(words)
+    order, heads = divergence.in_order(words)
+    assert [words[i] for i in order] == sorted(words)
+    assert heads.tolist() == [int.from_bytes((words[i] + b" ")[:8].ljust(8, b"\0")) for i in order]
+    assert len(divergence.in_order([])[0]) == 0
+
+
 def test_rare_prefixes_are_discarded(spark):
     rows = [(i, f"common rare{'abcdefgh'[i]}tail" + "z" * 100, "en", "s") for i in range(8)]
-    blocks = spark.table(divergence.write_blocks(spark.createDataFrame(rows, DOCS).coalesce(1)))
+    blocks = divergence.write_blocks(spark.createDataFrame(rows, DOCS).coalesce(1))
     first = stored(divergence.level(blocks, None, 4), "level")
     assert {bytes(r.prefix): r.docs for r in first.collect()} == {b"comm": 8, b"rare": 8}
     ranges = first.groupBy("block").agg(F.collect_list(F.struct("lo", "hi")).alias("list"))
