@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 
 from sessionlab.session import scratch_path
 
-# A group is hot when it holds more than this share of all rows, so there are fewer than
-# 1 / HOT_SHARE hot groups however large the data: few enough to broadcast.
+# A group is hot when it holds more than this share of all rows or, in large tables, more than
+# HOT_ROWS rows, so that what is left for a sort-merge join is bounded. Hot groups are broadcast, and
+# there are never more than MOST_HOT of them: beyond HOT_ROWS * MOST_HOT rows the bound rises.
 HOT_SHARE = 0.001
+HOT_ROWS = 1_000_000
+MOST_HOT = 200_000
 
 
 def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
@@ -52,6 +55,11 @@ def let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def hot_size(total: Column) -> Column:
+    """How many of so many rows a group may have without being hot."""
+    return F.least(total * HOT_SHARE, F.greatest(F.lit(float(HOT_ROWS)), total / MOST_HOT))
+
+
 def meet(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
     """Inner join on ``keys``, where ``size`` is how many of the rows a group has.
 
@@ -59,9 +67,9 @@ def meet(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> Data
     also leave the other rows before these are shuffled for a sort-merge join. ``rows`` and
     ``groups`` are read several times, so they should be stored frames.
     """
-    total = rows.agg(F.count("*")).scalar()
-    hot = groups.filter(F.col(size) > total * HOT_SHARE)
-    cold = groups.filter(F.col(size) <= total * HOT_SHARE)
+    limit = hot_size(rows.agg(F.count("*")).scalar())
+    hot = groups.filter(F.col(size) > limit)
+    cold = groups.filter(F.col(size) <= limit)
     others = rows.join(F.broadcast(hot.select(keys)), keys, "left_anti")
     return rows.join(F.broadcast(hot), keys).unionByName(others.join(cold.hint("merge"), keys))
 

@@ -37,6 +37,10 @@ class DigestIndex:
             f"LOCATION '{path}'"
         )
 
+    def forget(self) -> None:
+        """Remove the index from the catalog; its files stay and can be opened again."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)
 
@@ -67,14 +71,18 @@ def label_copies(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Without an index a new one is made, so the documents are compared with each other only. With
-    one, ``keep_id`` is the id the index holds, and rows of this batch that repeat an older text
-    are not kept.
+    one, ``keep_id`` and ``group_size`` are those of the batch that brought the text first: later
+    copies do not raise them, and rows of this batch that repeat an older text are not kept. Of a
+    text whose ids are all missing all rows are kept, because no id tells them apart.
     """
     spark = docs.sparkSession
     digests = stored(digests_of(docs), "digests")
-    index = index or DigestIndex(spark, scratch_path(spark, "digest_index"))
-    index.add(digests)
-    return index.classify(digests).select(
+    own = index or DigestIndex(spark, scratch_path(spark, "digest_index"))
+    own.add(digests)
+    classified = own.classify(digests)
+    if index is None:
+        own.forget()
+    return classified.select(
         "doc_id",
         "keep_id",
         "group_size",

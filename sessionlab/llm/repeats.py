@@ -298,7 +298,9 @@ def _bucketed(docs: DataFrame) -> DataFrame:
     )
     writer = rows.repartition(buckets, *KEY).write.bucketBy(buckets, *KEY)
     writer.option("path", scratch_path(spark, "texts")).saveAsTable(table)
-    return spark.table(table)
+    data = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the entry of the catalog; the frame knows its files
+    return data
 
 
 def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:

@@ -5,12 +5,12 @@ import re
 import duckdb
 import pytest
 
-from sessionlab.llm import exact_dedup, line_dedup, ngram_join, repeats
+from sessionlab.llm import common, exact_dedup, line_dedup, ngram_join, repeats
 from sessionlab.llm.catalog import QUERIES, SQL
 from sessionlab.session import scratch_path
 
 FOLDER = "/root/testdata/sf0.001"
-NAMES = "documents pages labels"
+NAMES = "documents pages labels embeddings"
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -183,3 +183,18 @@ def test_stripped_documents_keep_their_columns(frame):
         (1, "é1", "en"), (2, "2", "en"), (3, "", "en"),
     ]
     assert repeats.strip_repeats(docs.limit(0)).count() == 0
+
+
+def test_no_table_stays_in_the_catalog(spark, frame):
+    docs = frame([(1, "a" * 500), (2, "a" * 500), (3, None)])
+    assert exact_dedup.drop_copies(docs).count() == 2
+    assert repeats.strip_repeats(docs).count() == 3
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("texts_", "digest_index_"))]
+
+
+def test_few_groups_are_hot_and_the_others_are_bounded(spark):
+    totals = [1000, 10**9, 10**11, 10**13]
+    frame = spark.createDataFrame([(n,) for n in totals], "total long")
+    limits = [r[0] for r in frame.orderBy("total").select(common.hot_size(frame["total"])).collect()]
+    assert limits == [1, 10**6, 10**6, 5 * 10**7]
+    assert all(total / limit <= common.MOST_HOT for total, limit in zip(totals, limits))
