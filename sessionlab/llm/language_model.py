@@ -49,7 +49,7 @@ from sessionlab.llm.chains import SideBySide
 from sessionlab.llm.common import stored, texts
 
 HEAD = (1 << 16) - 2
-STRETCH = 1024
+STRETCH = 512
 STATES = 6
 ROUNDS = 8
 SMOOTH = 0.01
@@ -57,7 +57,7 @@ END, TAIL = 0, 1  # symbols; the head follows
 FIRST = 2
 BLOCK_BYTES = 16 << 20
 BLOCKS = 1 << 20  # of a task at most
-TOKENS_AT_A_TIME = 700_000
+TOKENS_AT_A_TIME = 400_000
 LOG10 = np.log(10)
 SHARE_BITS = 10
 SHARES = (1 << SHARE_BITS) - 1
@@ -284,7 +284,8 @@ def _expected(
     """The probability of every state at every item, given the whole text. Adds the expected moves
     and first states to ``sums``."""
     alpha, scale = _forward(symbols, layout, model, inner)
-    emitted = model.emits[symbols] / scale[:, None]
+    emitted = model.emits[symbols]
+    emitted /= scale[:, None]
     steps = layout.steps
     beta = None
     for number in range(len(steps) - 1, -1, -1):
