@@ -7,7 +7,7 @@ weights p and q of a term diverge by floor((p - q)^2 / q).
 
 Kept terms come from iceberg prefix refinement. A term ends with a blank, which no term holds, so
 it is complete when its prefix has the blank. Level by level, documents are counted for the
-prefixes of 4, 8, 16, ... bytes of the terms that are still open; a prefix in fewer than
+prefixes of 8, 16, 32, ... bytes of the terms that are still open; a prefix in fewer than
 ``MIN_DOCS`` documents is discarded with everything below it, complete prefixes are kept terms, and
 the others are extended, until none is open. A rare word is thus dropped at the first level at
 which it is rare, and levels go on only for the blocks that still have open prefixes.
@@ -30,7 +30,6 @@ long text is one document of one block.
 from __future__ import annotations
 
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +42,7 @@ from sessionlab.llm.common import stored
 from sessionlab.session import scratch_path
 
 MIN_DOCS = 3
-FIRST_PREFIX = 4
+FIRST_PREFIX = 8  # nearly all shorter prefixes are frequent
 TOP_TERMS = 200
 ONE = 1_000_000_000
 BLOCK_BYTES = 8 << 20
@@ -94,45 +93,55 @@ def in_order(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return order, high
 
 
+class _Numbers(dict):
+    """Numbers terms as they come."""
+
+    def __missing__(self, term: bytes) -> int:
+        number = self[term] = len(self)
+        return number
+
+
 class BlockBuilder:
-    """Gathers documents; terms are numbered as they come and renumbered in order at the end."""
+    """Gathers documents; terms are numbered as they come, by language, and renumbered in order at
+    the end."""
 
     def __init__(self) -> None:
-        self.terms: dict[str, dict[bytes, int]] = {}
+        self.terms: dict[str, _Numbers] = {}
         self.groups: dict[tuple[str, str], int] = {}
         self.doc_group: list[int] = []
-        self.places: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []
+        self.tokens: list[np.ndarray] = []
         self.size = 0
-        self.used = 0
 
     def add(self, lang: str, source: str, data: bytes) -> None:
-        counts = Counter(terms_of(data))
-        own = self.terms.setdefault(lang, {})
-        for term in counts:
-            if term not in own:
-                own[term] = self.used
-                self.used += 1
-        self.places.append(np.fromiter(map(own.__getitem__, counts), np.int32, len(counts)))
-        self.counts.append(np.fromiter(counts.values(), np.int32, len(counts)))
+        words = terms_of(data)
+        own = self.terms.setdefault(lang, _Numbers())
+        self.tokens.append(np.fromiter(map(own.__getitem__, words), np.int32, len(words)))
         self.doc_group.append(self.groups.setdefault((lang, source), len(self.groups)))
         self.size += len(data)
 
     def row(self, number: int) -> pa.RecordBatch:
         langs = sorted(self.terms)
-        words, ends, heads = [], [], []
-        rank = np.empty(self.used, np.int32)
+        words, ends, heads, ranks = [], [], [], []
         for lang in langs:
-            own, numbers = list(self.terms[lang]), np.array(list(self.terms[lang].values()), np.int64)
+            own = list(self.terms[lang])  # in the order of their numbers
             order, head = in_order(own)
-            rank[numbers[order]] = np.arange(len(words), len(words) + len(own))
+            rank = np.empty(len(own), np.int64)
+            rank[order] = np.arange(len(words), len(words) + len(own))
+            ranks.append(rank)
             words += map(own.__getitem__, order.tolist())
             heads.append(head.astype(">u8").tobytes())
             ends.append(len(words))
-        sizes = np.array([len(p) for p in self.places])
-        places = rank[np.concatenate(self.places)]
-        order = np.argsort(np.repeat(np.arange(len(sizes)), sizes) * (len(words) + 1) + places)
-        counts = np.concatenate(self.counts)[order]
+        firsts = dict(zip(langs, [0, *ends[:-1]]))
+        group_first = np.array([firsts[lang] for lang, _ in self.groups])
+        sizes = np.array([len(t) for t in self.tokens])
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        numbers = np.concatenate(self.tokens) + np.repeat(group_first[self.doc_group], sizes)
+        keys = doc * (len(words) + 1) + np.concatenate(ranks)[numbers]
+        keys.sort()
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        counts = np.diff(first, append=len(keys))
+        doc, places = np.divmod(keys[first], len(words) + 1)
+        doc_ends = np.cumsum(np.bincount(doc, minlength=len(sizes)))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()),
@@ -145,8 +154,8 @@ class BlockBuilder:
                     pa.list_(pa.struct([("lang", pa.string()), ("source", pa.string())])),
                 ),
                 pa.array([np.array(self.doc_group, "<i4").tobytes()], pa.binary()),
-                pa.array([np.cumsum(sizes).astype("<i8").tobytes()], pa.binary()),
-                pa.array([places[order].astype("<i4").tobytes()], pa.binary()),
+                pa.array([doc_ends.astype("<i8").tobytes()], pa.binary()),
+                pa.array([places.astype("<i4").tobytes()], pa.binary()),
                 pa.array([counts.astype("<i4" if counts.max(initial=0) > 255 else "u1").tobytes()], pa.binary()),
             ],
             names=BLOCK_COLUMNS,
@@ -337,8 +346,9 @@ def kept_terms(blocks: DataFrame, min_docs: int = MIN_DOCS, first: int = FIRST_P
 
 
 def count_terms(blocks: DataFrame, kept: DataFrame) -> DataFrame:
-    """(source, term_id, n): how often each source uses the kept terms, where it does. Sources of
-    different languages may have one name; the term tells the language."""
+    """(term_id, users, in_lang): the sources that use a kept term, with how often, and the sum.
+    Sources of different languages may have one name; the term tells the language. A term has a
+    row per block and source on the way, which few terms share, so nothing is combined before."""
     own = kept.groupBy("block").agg(F.collect_list(F.struct("place", "term_id")).alias("list"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,7 +357,11 @@ def count_terms(blocks: DataFrame, kept: DataFrame) -> DataFrame:
 
     joined = blocks.join(own.hint("shuffle_hash"), "block")
     parts = joined.mapInArrow(run, "source string, term_id long, n long")
-    return parts.groupBy("source", "term_id").agg(F.sum("n").alias("n"))
+    count = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_source = parts.repartition(count, "term_id").groupBy("source", "term_id").agg(F.sum("n").alias("n"))
+    return by_source.groupBy("term_id").agg(
+        F.collect_list(F.struct("source", "n")).alias("users"), F.sum("n").alias("in_lang")
+    )
 
 
 def weight(count: Column, tokens: Column, types: Column) -> Column:
@@ -428,7 +442,6 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> Da
     source uses more than its language does."""
     blocks = write_blocks(docs)
     kept = kept_terms(blocks, min_docs)
-    used = stored(count_terms(blocks, kept), "term_counts")
     sources = stored(
         blocks.select(F.explode("groups").alias("g")).select("g.lang", "g.source").distinct(), "sources"
     )
@@ -437,10 +450,7 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> Da
     terms = kept.filter(F.col("term_id") == F.col("block") * PLACES + F.col("place")).select(
         "term_id", "lang", F.col("term").alias("item")
     )
-    users = used.groupBy("term_id").agg(
-        F.collect_list(F.struct("source", "n")).alias("users"), F.sum("n").alias("in_lang")
-    )
-    usage = stored(users.join(terms, "term_id"), "usage")
+    usage = stored(count_terms(blocks, kept).join(terms, "term_id"), "usage")
     types = usage.groupBy("lang").agg(F.count("*").alias("types"), F.sum("in_lang").alias("lang_tokens"))
     tokens = usage.select("lang", F.inline("users")).groupBy("lang", "source").agg(F.sum("n").alias("tokens"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
