@@ -4,7 +4,8 @@ A turn is written ``<s>[INST]role[/INST]text</s>``. Control strings inside a rol
 broken by a backslash behind their first character, and one more is added where backslashes stand
 there already, so the way back is exact and text without control strings stays as it is.
 
-Prefix sums of the tokens of a conversation's turns choose the windows. A window takes as many whole
+The tokens of a turn are those of its text and of what stands before and behind it, each taken by
+itself. Prefix sums of the tokens of a conversation's turns choose the windows. A window takes as many whole
 turns as fit into ``budget`` tokens; the next one begins with the turn after. Every window begins
 with the conversation's system turn, if its first turn is one of at most half the budget, and then
 repeats the last turns before it as long as these have at most ``history`` tokens and the first new
@@ -41,6 +42,7 @@ BUDGET = 1024
 HISTORY = 256
 CHUNK = 4096
 HISTORY_TURNS = 64
+MANY_ROLES = 10_000
 CUT_BY = 64  # characters of a text that range partitions are cut by
 OPEN, ROLE, SAYS, CLOSE = "<s>", "[INST]", "[/INST]", "</s>"
 SYSTEM, ASSISTANT = "system", "assistant"
@@ -174,6 +176,7 @@ def _format(rows: DataFrame, vocabulary: str, pattern: str, budget: int, history
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary, pattern)
         key, turns, out = None, {}, []
+        frames: dict[str, int] = {}  # tokens around the text, by role
 
         def begin(new_key: tuple | None) -> None:
             nonlocal key, turns
@@ -193,11 +196,16 @@ def _format(rows: DataFrame, vocabulary: str, pattern: str, budget: int, history
                     begin((conv_id, chunk))
                     turns["leads"] = chunk == 0 and role == SYSTEM
                 formatted, start, end = write_turn(role, text)
-                tokens = len(own.encode(formatted))
+                head = formatted[:start]
+                if head not in frames:
+                    frames[head] = len(own.encode(head)) + len(own.encode(CLOSE))
+                tokens = frames[head] + len(own.encode(formatted[start:end]))
                 turns[kind].append(Turn(formatted, start, end, tokens, role == ASSISTANT))
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=WINDOW)
                 out.clear()
+            if len(frames) > MANY_ROLES:
+                frames.clear()
         begin(None)
         if out:
             yield pa.RecordBatch.from_pylist(out, schema=WINDOW)
