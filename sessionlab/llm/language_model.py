@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from sessionlab.llm.chains import SideBySide
 from sessionlab.llm.common import stored, texts
 
-HEAD = (1 << 16) - 2
+HEAD = 1 << 14  # a task sends as many rows in every round
 STRETCH = 512
 STATES = 6
 ROUNDS = 8
