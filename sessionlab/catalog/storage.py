@@ -11,6 +11,7 @@ from sessionlab.operators.ranking import top_songs_in_top_sessions
 from sessionlab.plans.quality import metric_table, quality_counts
 from sessionlab.schemas import METRIC
 from sessionlab.sources import readers, writers
+from sessionlab.sources.folded import read_folded
 
 # Cores assumed where a result must not depend on the machine.
 CORES = 8
@@ -74,6 +75,21 @@ def _(t):
     )
 
 
+@query(
+    "scan_mixed_types",
+    """SELECT userId, timestamp, CAST(seq AS VARCHAR) AS seq,
+              CASE WHEN seq % 3 = 2 THEN artistName END AS artistName FROM plays""",
+)
+def _(t):
+    # One column as int, long and text, in folders written by different jobs.
+    folder, part = t.scratch("mixed"), F.col("seq") % 3
+    for kind, rest in (("int", 0), ("long", 1), ("string", 2)):
+        rows = t.plays.filter(part == rest).withColumn("seq", F.col("seq").cast(kind))
+        more = ["artistName"] if rest == 2 else []
+        writers.write_parquet(rows.select("userId", "timestamp", "seq", *more), f"{folder}/{kind}")
+    return read_folded(t.spark, folder, one_schema_per_folder=True)
+
+
 @query(
     "scan_results_tsv",
     "SELECT rank, trackName, artistName, playCount FROM best_songs",
