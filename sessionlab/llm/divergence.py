@@ -7,7 +7,7 @@ weights p and q of a term diverge by floor((p - q)^2 / q).
 
 Kept terms come from iceberg prefix refinement. A term ends with a blank, which no term holds, so
 it is complete when its prefix has the blank. Level by level, documents are counted for the
-prefixes of 8, 16, 32, ... bytes of the terms that are still open; a prefix in fewer than
+prefixes of 4, 16, 64, ... bytes of the terms that are still open; a prefix in fewer than
 ``MIN_DOCS`` documents is discarded with everything below it, complete prefixes are kept terms, and
 the others are extended, until none is open. A rare word is thus dropped at the first level at
 which it is rare, and levels go on only for the blocks that still have open prefixes.
@@ -42,7 +42,7 @@ from sessionlab.llm.common import stored
 from sessionlab.session import scratch_path
 
 MIN_DOCS = 3
-FIRST_PREFIX = 8  # nearly all shorter prefixes are frequent
+FIRST_PREFIX, GROWTH = 4, 4  # bytes of the first level, and how many times longer the next one is
 TOP_TERMS = 200
 ONE = 1_000_000_000
 BLOCK_BYTES = 8 << 20
@@ -338,7 +338,7 @@ def kept_terms(blocks: DataFrame, min_docs: int = MIN_DOCS, first: int = FIRST_P
         if still_open.isEmpty():
             break
         ranges = still_open.groupBy("block").agg(F.collect_list(F.struct("lo", "hi")).alias("list"))
-        length *= 2
+        length *= GROWTH
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
