@@ -210,7 +210,7 @@ def decode(codes: DataFrame, books: Codebooks) -> DataFrame:
     """``codes`` with ``ints``, the integer vector that the code stands for."""
     parts = [
         F.element_at(
-            F.lit(book),
+            F.lit(book.tolist()),
             F.conv(F.substring("code", 2 * part + 1, 2), 16, 10).cast("int") + 1,
         )
         for part, book in enumerate(books.entries)

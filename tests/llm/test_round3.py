@@ -216,7 +216,7 @@ def vector_rows(count, width, size, seed=6):
         (i, [float(np.float32(random.uniform(-size, size))) for _ in range(width)], random.choice([None, 1, 1, 2]))
         for i in range(count)
     ]
-    rows += [rows[3], rows[3], (None, rows[5][1], 1), (3, rows[7][1], 2)]
+    rows += [rows[3], rows[3], (None, rows[0][1], 1), (3, rows[4][1], 2)]
     return rows + [(500, None, 1), (501, rows[0][1][:-1] + [None], 1), (502, [math.nan] * width, 1), (503, [math.inf] * width, None)]
 
 
