@@ -25,13 +25,13 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from sessionlab.llm.common import hash_sample, let, texts
+from sessionlab.llm.common import let, texts
 
 BUCKETS = 1 << 14
 HELD_OUT = 5  # one in so many trusted documents sets the cut
-# Documents of each kind that set the cut, and deviations below the mean without any bad ones.
-MAX_JUDGED = 5_000
+# Deviations below the mean of the good scores where there are no bad ones.
 DEVIATIONS = 4
 BLANKS = r"[\x20\x09-\x0D]+"
 TRIMMED = " \t\n\x0b\x0c\r"
@@ -40,7 +40,7 @@ SHORT_LIST = 64
 PRIOR = 0.5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-# Ids of trusted documents that are broadcast: 160 kB.
+# No longer a cap: every trusted document counts.
 MAX_TRUSTED = 20_000
 
 
@@ -156,14 +156,13 @@ def log_ratios(
     """One row, one array: log(p_trusted / p_corpus) for every bucket. The trusted counts get
     ``PRIOR`` per bucket on average, in the corpus's proportions, so that a bucket about which they
     say little has a ratio near 0 and the others are not shifted. ``trusted`` has the doc_id of
-    the trusted documents; where there are none, and in buckets that no text uses, the ratio is 0. The trusted model is fitted on at most ``max_trusted`` of them, those with the smallest
-    hash, so that their ids can be broadcast; an id that is listed twice counts once. The corpus
-    model counts every document."""
+    the trusted documents; where there are none, and in buckets that no text uses, the ratio is 0. The trusted model counts all
+    of them, joined by id; an id that is listed twice counts once. The corpus model counts every
+    document. ``max_trusted`` is no longer used."""
     ids = trusted.select(F.col("doc_id").alias("trusted_id")).distinct()
-    sample = hash_sample(ids, ["trusted_id"], max_trusted)
     rows = texts(docs)
     words = (
-        rows.join(F.broadcast(sample), F.col("doc_id") == F.col("trusted_id"), "left")
+        rows.join(ids, F.col("doc_id") == F.col("trusted_id"), "left")
         .select(F.col("trusted_id").isNotNull().alias("is_trusted"), words_of(F.col("text")).alias("words"))
         .select("is_trusted", F.inline(_windows(F.col("words"), 2)).alias("first", "second"))
     )
@@ -242,21 +241,75 @@ def cut_between(good: np.ndarray, bad: np.ndarray) -> float:
 
 def fit_cut(docs: DataFrame, ratios: np.ndarray, good: DataFrame, bad: DataFrame, buckets: int) -> float:
     """The cut from documents that the base rules let through: ``good`` and ``bad`` have their ids.
-    At most ``MAX_JUDGED`` of each, those with the least hash, are scored."""
-    kinds = [
-        hash_sample(ids.select("doc_id").distinct(), ["doc_id"], MAX_JUDGED).withColumn("is_good", F.lit(kind))
-        for ids, kind in ((good, True), (bad, False))
-    ]
-    judged = kinds[0].unionByName(kinds[1]).select(F.col("doc_id").alias("judged_id"), "is_good")
-    known = docs.join(F.broadcast(judged.select("judged_id").distinct()), F.col("doc_id") == F.col("judged_id"), "left_semi")
+    All of them are scored; the cut is that of ``cut_between``, found by Spark: the scores are
+    counted by value, cut into ranges, and summed up range by range, so that only a few numbers of
+    each range reach the driver."""
+    judged = (
+        good.select("doc_id").withColumn("is_good", F.lit(True))
+        .unionByName(bad.select("doc_id").withColumn("is_good", F.lit(False)))
+        .distinct()
+        .select(F.col("doc_id").alias("judged_id"), "is_good")
+    )
+    # Every document is scored where it lies; only ids and scores are shuffled, never texts.
     scores = (
-        _scored(known, ratios, buckets)
+        _scored(docs, ratios, buckets)
         .filter("NOT base_failed")
-        .join(F.broadcast(judged), F.col("doc_id") == F.col("judged_id"))
+        .select("doc_id", "score")
+        .join(judged, F.col("doc_id") == F.col("judged_id"))
         .select("is_good", "score")
-        .collect()  # at most 2 * MAX_JUDGED ids
     )
-    return cut_between(*(np.array([r["score"] for r in scores if r["is_good"] == kind]) for kind in (True, False)))
+    return cut_of(scores)
+
+
+def cut_of(scores: DataFrame, ranges: int = 64, per_range: int = 200_000) -> float:
+    """``cut_between`` of the ``score`` of rows with ``is_good`` true and false, by Spark."""
+    totals = scores.agg(
+        F.count_if("is_good").alias("n_good"),
+        F.count_if(~F.col("is_good")).alias("n_bad"),
+        F.avg(F.when(F.col("is_good"), F.col("score"))).alias("mean"),
+        F.stddev_pop(F.when(F.col("is_good"), F.col("score"))).alias("std"),
+    ).first()
+    n_good, n_bad = totals["n_good"], totals["n_bad"]
+    if not n_good:
+        return -np.inf
+    if not n_bad:
+        return float(totals["mean"] - DEVIATIONS * totals["std"])
+    ranges = max(ranges, (n_good + n_bad) // per_range)
+    places = scores.groupBy("score").agg(
+        F.count_if("is_good").alias("good"), F.count_if(~F.col("is_good")).alias("bad")
+    )
+    bounds = sorted(set(places.approxQuantile("score", [k / ranges for k in range(1, ranges)], 0.001)))
+    part = F.lit(0)
+    for bound in bounds:
+        part = part + F.when(F.col("score") > F.lit(bound), 1).otherwise(0)
+    places = places.withColumn("part", part).persist()
+    try:
+        parts = places.groupBy("part").agg(
+            F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.max("score").alias("top")
+        ).collect()  # one row a range
+        good_before, bad_before, top_before, total = {}, {}, {}, [0, 0, None]
+        for row in sorted(parts, key=lambda r: r["part"]):
+            good_before[row["part"]], bad_before[row["part"]], top_before[row["part"]] = total
+            total = [total[0] + row["good"], total[1] + row["bad"], row["top"]]
+        before = F.create_map(*[x for k, v in good_before.items() for x in (F.lit(k), F.lit(v))])
+        bad_map = F.create_map(*[x for k, v in bad_before.items() for x in (F.lit(k), F.lit(v))])
+        top_map = F.create_map(*[x for k, v in top_before.items() for x in (F.lit(k), F.lit(v).cast("double"))])
+        within = Window.partitionBy("part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+        ordered = Window.partitionBy("part").orderBy("score")
+        ranked = places.select(
+            "score",
+            (before[F.col("part")] + F.coalesce(F.sum("good").over(within), F.lit(0))).alias("good_less"),
+            (bad_map[F.col("part")] + F.coalesce(F.sum("bad").over(within), F.lit(0))).alias("bad_less"),
+            F.coalesce(F.lag("score").over(ordered), top_map[F.col("part")]).alias("previous"),
+        )
+        errors = F.col("good_less") / F.lit(n_good) + (F.lit(1) - F.col("bad_less") / F.lit(n_bad))
+        best = ranked.select("score", "previous", errors.alias("errors")).orderBy("errors", "score").first()
+    finally:
+        places.unpersist()
+    # The cut above every score errs by 1.0, as the lowest one does, which comes first.
+    if best["previous"] is None:
+        return float(best["score"])
+    return float((best["previous"] + best["score"]) / 2)
 
 
 def judge(
