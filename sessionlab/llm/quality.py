@@ -42,6 +42,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 # No longer a cap: every trusted document counts.
 MAX_TRUSTED = 20_000
+TRUSTED_PIECE = 1 << 21  # trusted ids broadcast at a time
 
 
 def words_of(text: Column) -> Column:
@@ -159,13 +160,25 @@ def log_ratios(
     the trusted documents; where there are none, and in buckets that no text uses, the ratio is 0. The trusted model counts all
     of them, joined by id; an id that is listed twice counts once. The corpus model counts every
     document. ``max_trusted`` is no longer used."""
-    ids = trusted.select(F.col("doc_id").alias("trusted_id")).distinct()
+    ids = trusted.select(F.col("doc_id").cast("long").alias("trusted_id")).distinct()
     rows = texts(docs)
-    words = (
-        rows.join(ids, F.col("doc_id") == F.col("trusted_id"), "left")
-        .select(F.col("trusted_id").isNotNull().alias("is_trusted"), words_of(F.col("text")).alias("words"))
-        .select("is_trusted", F.inline(_windows(F.col("words"), 2)).alias("first", "second"))
-    )
+
+    def windows(frame: DataFrame, is_trusted: bool) -> DataFrame:
+        return frame.select(F.lit(is_trusted).alias("is_trusted"), words_of(F.col("text")).alias("words")).select(
+            "is_trusted", F.inline(_windows(F.col("words"), 2)).alias("first", "second")
+        )
+
+    # Texts are never shuffled: the corpus counts take every row where it lies, and the trusted ids
+    # reach the texts in broadcast pieces of at most TRUSTED_PIECE, each against the rows of its hash.
+    pieces = max(1, -(-ids.count() // TRUSTED_PIECE))
+    piece_of = lambda c: F.pmod(F.xxhash64(c), F.lit(pieces))
+    words = windows(rows, False)
+    for piece in range(pieces):
+        own = ids.filter(piece_of(F.col("trusted_id")) == piece)
+        matched = rows.filter(piece_of(F.col("doc_id")) == piece).join(
+            F.broadcast(own), F.col("doc_id") == F.col("trusted_id"), "left_semi"
+        )
+        words = words.unionByName(windows(matched, True))
     grams = words.select(
         "is_trusted",
         F.explode(
@@ -178,7 +191,7 @@ def log_ratios(
     counts = (
         grams.filter("bucket IS NOT NULL")
         .groupBy("bucket")
-        .agg(F.count("*").alias("corpus"), F.count_if("is_trusted").alias("trusted"))
+        .agg(F.count_if(~F.col("is_trusted")).alias("corpus"), F.count_if("is_trusted").alias("trusted"))
     )
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     filled = every.join(counts, "bucket", "left").na.fill(0, ["corpus", "trusted"])
